@@ -17,6 +17,9 @@ def attach_sites(df: DataFrame, sites: DataFrame, columns: list[str], spread: st
     check. ``spread`` names a column to salt on, for interval-sized inputs, so
     that beyond the check one huge plant is still shuffled over many tasks.
     """
+    columns = [c for c in columns if c not in df.columns]
+    if not columns:
+        return df
     dim = sites.select("site_id", *columns)
     if spread is None:
         return df.join(dim, "site_id", "left")

@@ -12,7 +12,6 @@ from ..functions.units import convert, mask_sentinels
 from ..operators import evaluation, events as ev, quality, splits, trend
 from ..operators.align import dedupe, last_value_per_channel, resample_mean
 from ..operators.daily import add_flags, build_daily
-from ..operators.features import day_features
 from ..operators.referee import daily_divergence, inverter_daily
 from ..operators.rules import classify
 from ..operators.shape import day_shape
@@ -22,8 +21,12 @@ from ..sites import channel_map
 from ..sources import lake as lake_src, tables
 from ..sources.lake import melt
 from ..sources.weather import to_grid
-from ..streaming import intake
+from ..learning import evaluate, models
+from ..learning.scorers import linear_scorer
+from ..session import cut_lineage, work_dir
+from ..streaming import dayclose, intake, replay
 from . import views
+from .canonical import build_dataset, model_power, with_clearsky
 from .diagnose import Diagnosis, day_table, diagnose, event_table, flagged_days
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -499,6 +502,86 @@ def pending_days(spark, sf):
     return intake.pending_days(src.where(F.col("event_type") == "view"), closed, ["node"])
 
 
+# --- whole jobs: canonical dataset, learning, streaming ------------------------------
+def canonical_dataset(spark, sf):
+    sites = views.geometry_sites(spark, sf)
+    interval, _ = build_dataset(
+        views.meter_only(spark, sf), sites, views.plant_weather(spark, sf), has_poa=False
+    )
+    return interval.select(
+        "site_id", stamp("ts_utc"), r("ac_power_kw"), r("expected_kw"), r("clearsky_kw", 5),
+        r("temp_c"), r("rain_mm"), r("snow_cm"),
+    )
+
+
+def _learnable(spark, sf):
+    """The training table, written once: every fit reads it many times."""
+    return splits.trainable(cut_lineage(_training(spark, sf), "training"))
+
+
+def _holdout(name, **options):
+    def run(spark, sf):
+        _, scored = evaluate.holdout_predictions(_learnable(spark, sf), name, **options)
+        return evaluation.classification_report(scored, "final_label", "pred")
+    return run
+
+
+def loso_eval(spark, sf):
+    scored = evaluate.loso_predictions(_learnable(spark, sf), "logreg", max_iter=30)
+    return evaluation.classification_report(scored, "final_label", "pred")
+
+
+def perm_importance(spark, sf):
+    bundle, scored = evaluate.holdout_predictions(_learnable(spark, sf), "logreg", max_iter=30)
+    return evaluate.permutation_importance(bundle, cut_lineage(scored, "holdout"))
+
+
+def confident_unclassified(spark, sf):
+    rows = cut_lineage(_training(spark, sf), "training")
+    bundle = models.fit(splits.trainable(rows), "logreg", max_iter=30)
+    return evaluation.confident_counts(models.score(bundle, splits.unclassified(rows)))
+
+
+def _batch_days(spark, sf):
+    """The streamed plants through the batch path."""
+    sites = views.geometry_sites(spark, sf)
+    clear = with_clearsky(views.meter_only(spark, sf), sites)
+    return diagnose(model_power(clear, views.plant_weather(spark, sf), sites), sites)
+
+
+def _streamed(spark, sf):
+    """(batch training rows, streamed closed days) of the same plants."""
+    sites = cut_lineage(views.geometry_sites(spark, sf), "sites")
+    batch = cut_lineage(_batch_days(spark, sf).training, "batch")
+    scorer = linear_scorer(models.fit(splits.trainable(batch), "logreg", max_iter=30))
+    path = work_dir(spark, "stream")
+    views.posted_lines(spark, sf).write.text(f"{path}/posted")
+    lines = intake.read_lines(spark, f"{path}/posted")
+    stored = intake.accepted_power(intake.judge(lines, "Solar"))
+    closed = dayclose.run_available(
+        spark, stored, sites, scorer, path, views.plant_weather(spark, sf)
+    )
+    return batch, closed
+
+
+def stream_day_close(spark, sf):
+    """Posted readings -> closed, labelled days."""
+    _, closed = _streamed(spark, sf)
+    return closed.select(
+        "site_id", "local_date", "label", r("pi"), r("pi_baseline"), r("coverage"), "history_days"
+    )
+
+
+def stream_replay_diff(spark, sf):
+    """Agreement of streamed and batch labels, per batch label."""
+    batch, closed = _streamed(spark, sf)
+    truth = batch.select(
+        F.col("site").alias("site_id"), F.col("date").alias("local_date"),
+        F.col("final_label").alias("label"),
+    )
+    return evaluation.agreement_by_class(replay.compare(truth, closed))
+
+
 QUERIES: dict[str, Query] = {
     "sentinel_mask": sentinel_mask,
     "channel_last_value": channel_last_value,
@@ -554,4 +637,13 @@ QUERIES: dict[str, Query] = {
     "datum_status": datum_status,
     "datum_upsert": datum_upsert,
     "pending_days": pending_days,
+    "canonical_dataset": canonical_dataset,
+    "model_logreg": _holdout("logreg", max_iter=30),
+    "model_rf": _holdout("rf", trees=20),
+    "model_gbt": _holdout("hgb", max_iter=5),
+    "loso_eval": loso_eval,
+    "perm_importance": perm_importance,
+    "confident_unclassified": confident_unclassified,
+    "stream_day_close": stream_day_close,
+    "stream_replay_diff": stream_replay_diff,
 }

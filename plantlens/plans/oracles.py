@@ -17,7 +17,7 @@ dayly AS (
 grid AS (
   SELECT y.no, y.d, CAST(t.h AS INTEGER) AS h, x.n,
          CASE WHEN NOT (y.day_n <= 1 AND t.h >= 11)
-           THEN coalesce(x.ratio, y.day_ratio) * (1 - 0.0013::DOUBLE * ((t.h * 7) % 5 + 1)) END AS ratio,
+           THEN coalesce(x.ratio, y.day_ratio) * (1 - 0.0013717::DOUBLE * ((t.h * 7) % 5 + 1.3731::DOUBLE)) END AS ratio,
          date_diff('day', DATE '1995-01-01', y.d) AS e,
          (date_diff('day', DATE '1995-01-01', y.d) + 41 * y.no) % 120 AS p,
          CASE WHEN t.h BETWEEN 6 AND 18 THEN sin(pi() * (t.h - 5) / 14.0) ELSE 0.0 END AS bell,
@@ -316,10 +316,7 @@ def _rounded(cols, digits=6) -> str:
     return ", ".join(f"round({c}, {digits}) AS {c}" for c in cols)
 
 
-CLEARSKY = """
-g AS (
-  SELECT n_nationkey AS k, n_nationkey * 2.0::DOUBLE - 25 AS lat, 25.0::DOUBLE AS tilt, 180.0::DOUBLE AS az, e.d, t.h
-  FROM nation CROSS JOIN (SELECT DISTINCT CAST(ts AS DATE) AS d FROM events) e CROSS JOIN range(24) t(h)),
+SUN_STEPS = """
 s1 AS (SELECT *, 2 * pi() / 365 * (dayofyear(d) - 1) AS ga FROM g),
 s2 AS (
   SELECT *, 0.006918 - 0.399912 * cos(ga) + 0.070257 * sin(ga) - 0.006758 * cos(2 * ga) + 0.000907 * sin(2 * ga)
@@ -332,9 +329,19 @@ s4 AS (
     sin(decl) * cos(phi) - cos(decl) * sin(phi) * cos(ha) AS nn, -cos(decl) * sin(ha) AS ee FROM s3),
 s5 AS (
   SELECT *, up * cos(b) + nn * sin(b) * cos(fz) + ee * sin(b) * sin(fz) AS fc,
-    1098.0 * up * exp(-0.057 / greatest(up, 1e-6)) AS ghi FROM s4)"""
+    1098.0 * up * exp(-0.057 / greatest(up, 1e-6)) AS ghi FROM s4),
+sun AS (
+  SELECT *, CASE WHEN up > 0 THEN 0.88::DOUBLE * ghi / greatest(up, 1e-6) * greatest(fc, 0)
+    + 0.12::DOUBLE * ghi * (1 + cos(b)) / 2 + 0.25::DOUBLE * ghi * (1 - cos(b)) / 2 ELSE 0 END AS cs FROM s5)"""
+
+CLEARSKY = """
+g AS (
+  SELECT n_nationkey AS k, n_nationkey * 2.0::DOUBLE - 25 AS lat, 25.0::DOUBLE AS tilt, 180.0::DOUBLE AS az, e.d, t.h
+  FROM nation CROSS JOIN (SELECT DISTINCT CAST(ts AS DATE) AS d FROM events) e CROSS JOIN range(24) t(h)),""" + SUN_STEPS
 
-ISO_D = "strftime(d, '%Y-%m-%d')"
+CANONICAL = PLANT + """,
+g AS (SELECT *, d + h * INTERVAL 1 HOUR AS t, 35.0::DOUBLE AS lat, 25.0::DOUBLE AS tilt, 180.0::DOUBLE AS az FROM plant),""" \
+    + SUN_STEPS + _runs("ac", "acr", "g")
 
 DATUMS = """
 datum AS (
@@ -441,10 +448,14 @@ def oracle_sql() -> dict[str, str]:
               round(100 * (g / 1000) * 0.8::DOUBLE, 6) AS flat_kw
             FROM x"""),
         "clearsky_curve": q(CLEARSKY, """
-            SELECT k AS site, strftime(d, '%Y-%m-%d') AS day, h AS hour, round(CASE WHEN up > 0 THEN
-                0.88::DOUBLE * ghi / greatest(up, 1e-6) * greatest(fc, 0) + 0.12::DOUBLE * ghi * (1 + cos(b)) / 2
-                + 0.25::DOUBLE * ghi * (1 - cos(b)) / 2 ELSE 0 END, 5) AS poa
-            FROM s5"""),
+            SELECT k AS site, strftime(d, '%Y-%m-%d') AS day, h AS hour, round(cs, 5) AS poa FROM sun"""),
+        "canonical_dataset": q(CANONICAL, """,
+            m AS (SELECT sun.*, CASE WHEN coalesce((a.stale OR a.interp) AND ac <> 0 AND ac < 72, FALSE) THEN NULL ELSE ac END AS kw
+              FROM sun LEFT JOIN acr a ON a.site_id = sun.site_id AND a.t = sun.t)
+            SELECT site_id, strftime(t, '%Y-%m-%d %H:%M:%S') AS label,
+              round(CASE WHEN kw IS NULL AND cs <= 0 THEN 0 ELSE kw END, 6) AS ac_power_kw, round(expected_kw, 6) AS expected_kw,
+              round(100 * (cs / 1000) * 0.8::DOUBLE, 5) AS clearsky_kw, round(temp, 6) AS temp_c, round(rain, 6) AS rain_mm,
+              round(snow, 6) AS snow_cm FROM m"""),
         "stale_runs": q(RUNS, "SELECT site_id, strftime(t, '%Y-%m-%d %H:%M:%S') AS label, CAST(stale AS INTEGER) AS stale FROM acr"),
         "interp_runs": q(RUNS, "SELECT site_id, strftime(t, '%Y-%m-%d %H:%M:%S') AS label, CAST(interp AS INTEGER) AS interp FROM acr"),
         "quality_counts": q(RUNS, """

@@ -14,7 +14,9 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..schema import INTERVAL, conform
 from ..sites import with_defaults
+from ..sources.datums import as_datums
 
 SUPPLIERS_PER_PLANT = 20
 USERS_PER_PLANT = 75
@@ -70,7 +72,7 @@ def _phase(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(
             ~((c("day_n") <= 1) & (c("h") >= 11)),
             # a small hourly ripple keeps curves off exact thresholds and constants
-            F.coalesce("cell.ratio", "day_ratio") * (1 - 0.0013 * ((c("h") * 7) % 5 + 1)),
+            F.coalesce("cell.ratio", "day_ratio") * (1 - 0.0013717 * ((c("h") * 7) % 5 + 1.3731)),
         ).alias("ratio"),
         e.alias("e"), ((e + 41 * c("no")) % 120).alias("phase"),
         F.when(
@@ -216,3 +218,35 @@ def datum_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         body.alias("value"), F.col("event_id").alias("seq"), F.col("ts").cast("timestamp").alias("ts_utc")
     )
+
+
+def geometry_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same plants with a location and weather data, but no sensors of their own."""
+    return plant_sites(spark, sf_dir).withColumns({
+        "lat": F.lit(35.0), "lon": F.lit(0.0), "tilt": F.lit(25.0), "azimuth": F.lit(180.0),
+        "has_poa": F.lit(False), "has_temp": F.lit(False), "has_submeter": F.lit(False),
+    })
+
+
+def meter_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plant meters without modelled columns."""
+    return conform(
+        plant_interval(spark, sf_dir).select("site_id", "ts_utc", "local_ts", "local_date", "ac_power_kw"),
+        INTERVAL,
+    )
+
+
+def plant_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly weather of the plants, in the columns of landed payloads."""
+    c = F.col
+    return plant_interval(spark, sf_dir).select(
+        "site_id", c("ts_utc").alias("hour_utc"),
+        (c("expected_kw") / 0.08).alias("poa_model"), c("temp_c").alias("temp_model"),
+        c("rain_mm").alias("rain_model"), c("snow_cm").alias("snow_model"),
+    )
+
+
+def posted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plant meters as the JSON lines the plants' nodes would post."""
+    datums = as_datums(meter_only(spark, sf_dir), geometry_sites(spark, sf_dir), "Solar")
+    return datums.select(F.to_json(F.struct("nodeId", "sourceId", "timestamp", "i")).alias("value"))

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 SITE = T.StructType([
     T.StructField("site_id", T.StringType(), False),
@@ -74,20 +76,29 @@ def with_defaults(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
+def local_table(spark: SparkSession, rows: list[dict], schema: T.StructType) -> DataFrame:
+    """Configuration rows as a local relation: its size is known when a join is
+    planned, so Spark's own check decides on broadcasting it."""
+    loose = T.StructType([T.StructField(f.name, f.dataType) for f in schema])
+    arrow = pa.Table.from_pylist(
+        [{f.name: row.get(f.name) for f in loose} for row in rows], to_arrow_schema(loose)
+    )
+    return spark.createDataFrame(arrow, loose)
+
+
 def site_dim(spark: SparkSession, rows: list[dict]) -> DataFrame:
     """Site table from configuration rows; absent fields take the defaults."""
-    full = [
-        tuple(row.get(f.name, DEFAULTS.get(f.name)) for f in SITE) for row in rows
-    ]
-    return spark.createDataFrame(full, SITE)
+    return local_table(spark, [{**DEFAULTS, **row} for row in rows], SITE)
 
 
 def channel_map(spark: SparkSession, rows: list[dict]) -> DataFrame:
     """Source channel -> canonical column, with unit conversion and eras."""
     base = {"part_no": 0, "offset": 0.0, "scale": 1.0, "breaks": []}
-    return spark.createDataFrame(
-        [tuple({**base, **row}.get(f.name) for f in CHANNEL) for row in rows], CHANNEL
-    )
+    eras = lambda row: [
+        b if isinstance(b, dict) else dict(zip(("from", "offset", "scale"), b))
+        for b in row.get("breaks", [])
+    ]
+    return local_table(spark, [{**base, **row, "breaks": eras(row)} for row in rows], CHANNEL)
 
 
 def read_sites(spark: SparkSession, path: str) -> DataFrame:
