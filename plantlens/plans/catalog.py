@@ -371,7 +371,7 @@ def _training(spark, sf):
 def feature_vector(spark, sf):
     numbers = [c for c in TRAINING_COLUMNS if c not in _TEXT | {"actual_kwh", "expected_kwh"}]
     return _training(spark, sf).select(
-        "site", "date", *[r(c, 5 if c == "temp_corr" else 6) for c in numbers]
+        "site", "date", *[r(c, {"temp_corr": 5, "pi_drop_share": 2}.get(c, 6)) for c in numbers]
     )
 
 

@@ -520,7 +520,7 @@ def oracle_sql() -> dict[str, str]:
                    round(p.expected_kw, 6) AS expected_kw, round(p.clear, 6) AS clearsky_kw
             FROM plant p JOIN ruled r ON r.site_id = p.site_id AND r.d = p.d WHERE r.final_label IS NOT NULL"""),
         "feature_vector": q(TRAINING, f"""
-            SELECT site, date, {_rounded(c for c in _TRAIN_NUM if c not in ('actual_kwh', 'expected_kwh', 'temp_corr'))},
+            SELECT site, date, {_rounded(c for c in _TRAIN_NUM if c not in ('actual_kwh', 'expected_kwh', 'temp_corr', 'pi_drop_share'))}, round(pi_drop_share, 2) AS pi_drop_share,
                    round(temp_corr, 5) AS temp_corr FROM training"""),
         "training_frame": q(TRAINING, """
             SELECT site, date, round(actual_kwh, 4) AS actual_kwh, round(expected_kwh, 4) AS expected_kwh, round(pi, 6) AS pi,
