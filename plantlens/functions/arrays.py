@@ -44,3 +44,13 @@ def ols_slope(values: Column) -> Column:
     mid = (n - 1) / 2
     sxy = sum_of(F.transform(values, lambda y, i: (i.cast("double") - mid) * y))
     return F.try_divide(sxy, n * (n * n - 1) / 12)
+
+
+def longest_run(values: Column, test) -> Column:
+    """Length of the longest run of adjacent entries passing ``test`` (A10)."""
+    def step(acc, v):
+        run = F.when(F.coalesce(test(v), F.lit(False)), acc["run"] + 1).otherwise(F.lit(0))
+        return F.struct(run.alias("run"), F.greatest(acc["best"], run).alias("best"))
+
+    start = F.struct(F.lit(0).alias("run"), F.lit(0).alias("best"))
+    return F.aggregate(values, start, step, lambda acc: acc["best"])

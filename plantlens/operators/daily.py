@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.arrays import median_of
 from ..schema import FLAG_PASSES
 from .align import attach_sites, fill_days
 
@@ -87,7 +88,7 @@ def add_flags(daily: DataFrame, windows: tuple[int, ...] = (30,), passes: int =
             frame = days.rowsBetween(-n, -1)
             value = F.when(
                 F.count(values).over(frame) >= n // 2,
-                F.percentile(values, F.lit(0.5)).over(frame),
+                median_of(F.collect_list(values).over(frame)),
             )
             branches.append((n, value))
         if len(branches) == 1:

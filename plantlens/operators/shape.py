@@ -1,16 +1,17 @@
 """Day-shape measurements over the interval curve.
 
 Everything the rules, the referee and the feature vector read about a day's
-curve is computed once here. The interval rows are shuffled once, by
-(site, day); hour and day aggregates below stay inside that partitioning.
+curve is computed once here, by two nested aggregates: hours, then days. The
+interval rows are shuffled once, by (site, day), and no window is needed: a day's
+readings, at most one per interval of the day, travel as one sorted array.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.arrays import diffs, let, median_of
+from ..functions.arrays import diffs, let, longest_run, median_of
 from ..functions.timeparts import within
 from ..schema import (
     BRIGHT_FRAC, DEAD_FRAC, LATE_WINDOW, LIT_FRAC, MIDDAY_WINDOW,
@@ -19,78 +20,55 @@ from ..schema import (
 from .align import attach_sites
 from .daily import daily_aggregates
 
-
-def run_lengths(df: DataFrame, mask: str, among: str, out: str, w) -> DataFrame:
-    """Length of the run of True ``mask`` ending at each row, by row adjacency
-    among the rows where ``among`` holds (A10). The day's maximum is its longest run."""
-    upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    inside = F.col(among)
-    seq = F.sum(F.when(inside, F.lit(1)).otherwise(F.lit(0))).over(upto)
-    df = df.withColumn("_seq", seq)
-    broken = F.max(F.when(inside & ~F.col(mask), F.col("_seq"))).over(upto)
-    return df.withColumn(
-        out,
-        F.when(inside & F.col(mask), F.col("_seq") - F.coalesce(broken, F.lit(0))),
-    ).drop("_seq")
+_SUMS = ["_ac", "_expected", "_seen", "rain_mm", "snow_cm", "_both_ac", "_both_expected",
+         "_clear", "n_rows", "bright_rows"]
+_MAXIMA = ["peak", "midday_expected", "tmax"]
 
 
 def day_shape(interval: DataFrame, sites: DataFrame) -> DataFrame:
     """One row per (site, day) with rows: daily sums and shape measurements."""
-    day = Window.partitionBy("site_id", "local_date")
-    order = day.orderBy("ts_utc")
     no = F.lit(False)
-    ac, expected = F.col("ac_power_kw"), F.col("expected_kw")
-
+    ac, expected, local = F.col("ac_power_kw"), F.col("expected_kw"), F.col("local_ts")
     df = attach_sites(interval, sites, ["dc_kw", "ac_kw"], spread="local_date")
-    df = df.withColumn("_peak", F.max(ac).over(day)).withColumns({
+    # one exchange by day serves both aggregates
+    df = df.repartition("site_id", "local_date").withColumns({
         "_lit": F.coalesce(expected > LIT_FRAC * F.col("dc_kw"), no),
         "_bright": F.coalesce(expected > BRIGHT_FRAC * F.col("ac_kw"), no),
-        "_midday": within(F.col("local_ts"), MIDDAY_WINDOW),
-        "_any": F.lit(True),
+        "_midday": within(local, MIDDAY_WINDOW),
+        "_hour": F.unix_timestamp("ts_utc") - F.minute("local_ts") * 60 - F.second("local_ts"),
     })
-    df = df.withColumns({
-        "_flat": F.coalesce(ac > PLATEAU_FRAC * F.col("_peak"), no),
-        "_dead": F.coalesce(ac < DEAD_FRAC * expected, no) & F.col("_lit"),
-        "_ratio": F.when(F.col("_lit"), F.try_divide(ac, expected)),
-        "_hour": (
-            F.unix_timestamp("ts_utc") - F.minute("local_ts") * 60 - F.second("local_ts")
-        ),
-    })
-    df = run_lengths(df, "_flat", "_midday", "_flat_run", order)
-    df = run_lengths(df, "_dead", "_any", "_dead_run", order)
-
-    local = F.col("local_ts")
+    point = F.struct(
+        F.col("ts_utc"),
+        F.col("_midday").alias("midday"),
+        F.when(F.col("_midday"), ac).alias("ac"),
+        (F.coalesce(ac < DEAD_FRAC * expected, no) & F.col("_lit")).alias("dead"),
+        within(local, MORNING_WINDOW).alias("morning"),
+        within(local, LATE_WINDOW).alias("late"),
+        F.when(F.col("_lit"), F.try_divide(ac, expected)).alias("ratio"),
+        F.when(F.col("_bright"), expected - ac).alias("deficit"),
+    )
     hours = df.groupBy("site_id", "local_date", "_hour").agg(
         *daily_aggregates(),
         F.sum("clearsky_kw").alias("_clear"),
-        F.count("*").alias("_rows"),
-        F.max("_peak").alias("peak"),
+        F.count("*").alias("n_rows"),
+        F.count_if(F.col("_bright")).alias("bright_rows"),
+        F.max(ac).alias("peak"),
         F.max(F.when(F.col("_midday"), expected)).alias("midday_expected"),
-        F.max("_flat_run").alias("_flat_run"),
-        F.max("_dead_run").alias("_dead_run"),
-        F.avg(F.when(F.col("_lit"), ac)).alias("_lit_ac"),
-        F.avg(F.when(F.col("_lit"), expected)).alias("_lit_expected"),
-        F.avg("temp_c").alias("_temp"),
         F.max("temp_c").alias("tmax"),
-        F.collect_list(F.when(within(local, MORNING_WINDOW), F.col("_ratio"))).alias("_morning"),
-        F.collect_list(F.when(within(local, LATE_WINDOW), F.col("_ratio"))).alias("_late"),
-        F.collect_list(F.when(F.col("_bright"), expected - ac)).alias("_deficits"),
-        F.count_if(F.col("_bright")).alias("_bright_rows"),
+        F.try_divide(
+            F.avg(F.when(F.col("_lit"), ac)), F.avg(F.when(F.col("_lit"), expected))
+        ).alias("_hr"),
+        F.avg("temp_c").alias("_temp"),
+        F.collect_list(point).alias("_points"),
     )
-    ratio = F.try_divide("_lit_ac", "_lit_expected")
-    hours = hours.withColumn("_hr", ratio)
-    point = F.struct(F.col("_hour"), F.col("_hr").alias("r"))
     paired = F.col("_hr").isNotNull() & F.col("_temp").isNotNull()
     both = lambda c: F.when(paired, F.col(c))
-    sums = ["_ac", "_expected", "_seen", "rain_mm", "snow_cm", "_both_ac", "_both_expected",
-            "_clear", "_rows", "_bright_rows"]
-    maxima = ["peak", "midday_expected", "_flat_run", "_dead_run", "tmax"]
-    lists = ["_morning", "_late", "_deficits"]
+    hour = F.struct(F.col("_hour"), F.col("_hr").alias("r"))
     days = hours.groupBy("site_id", "local_date").agg(
-        *[F.sum(c).alias(c) for c in sums],
-        *[F.max(c).alias(c) for c in maxima],
-        *[F.flatten(F.collect_list(c)).alias(c) for c in lists],
-        F.sort_array(F.collect_list(F.when(F.col("_hr").isNotNull(), point))).alias("_hours"),
+        *[F.sum(c).alias(c) for c in _SUMS],
+        *[F.max(c).alias(c) for c in _MAXIMA],
+        F.sort_array(F.flatten(F.collect_list("_points"))).alias("_points"),
+        F.sort_array(F.collect_list(F.when(F.col("_hr").isNotNull(), hour))).alias("_hours"),
         F.count("_hr").alias("ratio_hours"),
         # not corr(): that raises on a constant series under ANSI
         F.try_divide(
@@ -99,6 +77,7 @@ def day_shape(interval: DataFrame, sites: DataFrame) -> DataFrame:
         ).alias("_corr"),
     )
     ratios = F.transform("_hours", lambda h: h["r"])
+    pick = lambda test, field: F.transform(F.filter("_points", test), lambda p: p[field])
     ceiling = F.when(F.col("_clear") > 0, F.col("_clear"))
     zero = F.lit(0.0)
     return days.withColumns({
@@ -107,16 +86,16 @@ def day_shape(interval: DataFrame, sites: DataFrame) -> DataFrame:
         "chop": F.coalesce(
             median_of(let(ratios, lambda r: F.transform(diffs(r), F.abs))), zero
         ),
-        "plateau_run": F.coalesce("_flat_run", F.lit(0)),
-        "dead_run": F.coalesce("_dead_run", F.lit(0)),
-        "morning_ratio": median_of(F.col("_morning")),
-        "midday_ratio": median_of(F.col("_late")),
-        "bright_deficit": median_of(F.col("_deficits")),
-        "bright_rows": F.col("_bright_rows"),
+        "plateau_run": longest_run(
+            F.filter("_points", lambda p: p["midday"]),
+            lambda p: p["ac"] > PLATEAU_FRAC * F.col("peak"),
+        ),
+        "dead_run": longest_run(F.col("_points"), lambda p: p["dead"]),
+        "morning_ratio": median_of(pick(lambda p: p["morning"], "ratio")),
+        "midday_ratio": median_of(pick(lambda p: p["late"], "ratio")),
+        "bright_deficit": median_of(F.transform("_points", lambda p: p["deficit"])),
         "temp_corr": F.when(F.col("ratio_hours") >= MIN_RATIO_HOURS, F.col("_corr")),
-        "n_rows": F.col("_rows"),
-    }).drop("_clear", "_rows", "_flat_run", "_dead_run", "_morning", "_late", "_deficits",
-            "_hours", "_bright_rows", "_corr")
+    }).drop("_clear", "_points", "_hours", "_corr")
 
 
 SHAPE_COLUMNS = [

@@ -353,7 +353,8 @@ def event_islands(spark, sf):
 
 
 def event_rollup(spark, sf):
-    return event_table(_final(spark, sf)).select(
+    # the event job reads the resolved days three times; they are written once
+    return event_table(cut_lineage(_final(spark, sf), "final")).select(
         "site_id", big("event_seq"), "label", "start", "end", big("days"),
         r("median_pi"), r("energy_deficit_kwh", 4),
     )
@@ -383,11 +384,12 @@ def training_frame(spark, sf):
 
 
 def event_ids(spark, sf):
-    return ev.assign_events(_training(spark, sf)).select("site", "date", "final_label", "event_id")
+    return ev.assign_events(cut_lineage(_training(spark, sf), "training")).select("site", "date", "final_label", "event_id")
 
 
 def event_split(spark, sf):
-    return splits.event_split(_training(spark, sf), 0.2, "dev").select(
+    rows = cut_lineage(_training(spark, sf), "training")
+    return splits.event_split(rows, 0.2, "dev").select(
         "site", "date", "event_id", i("is_test")
     )
 
@@ -546,7 +548,7 @@ def _batch_days(spark, sf):
     """The streamed plants through the batch path."""
     sites = views.geometry_sites(spark, sf)
     clear = with_clearsky(views.meter_only(spark, sf), sites)
-    return diagnose(model_power(clear, views.plant_weather(spark, sf), sites), sites)
+    return diagnose(model_power(clear, views.plant_weather(spark, sf), sites, has_poa=False), sites)
 
 
 def _streamed(spark, sf):
