@@ -20,13 +20,17 @@ def attach_sites(df: DataFrame, sites: DataFrame, columns: list[str], spread: st
     columns = [c for c in columns if c not in df.columns]
     if not columns:
         return df
-    dim = sites.select("site_id", *columns)
+    return attach_on(df, sites.select("site_id", *columns), ["site_id"], spread)
+
+
+def attach_on(df: DataFrame, dim: DataFrame, keys: list[str], spread: str | None, how: str = "left") -> DataFrame:
+    """Join a small table with one row per key, salted where ``spread`` is given."""
     if spread is None:
-        return df.join(dim, "site_id", "left")
+        return df.join(dim, keys, how)
     salted = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SITE_SALT - 1))))
     return (
         df.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SITE_SALT)).cast("int"))
-        .join(salted, ["site_id", "_salt"], "left")
+        .join(salted, [*keys, "_salt"], how)
         .drop("_salt")
     )
 

@@ -17,7 +17,7 @@ from ..operators.rules import classify
 from ..operators.shape import day_shape
 from ..operators.trailing import trailing_context
 from ..schema import TRAINING_COLUMNS
-from ..sites import channel_map
+from ..sites import CHANNEL, channel_map
 from ..sources import lake as lake_src, tables
 from ..sources.lake import melt
 from ..sources.weather import to_grid
@@ -94,6 +94,15 @@ def dedupe_precedence(spark, sf):
     return newest.join(oldest, ["site_id", "stamp"])
 
 
+def _eras(breaks) -> Column:
+    eras = [
+        F.struct(F.lit(b["from"]).cast("date").alias("from"), F.lit(b["offset"]).alias("offset"),
+                 F.lit(b["scale"]).alias("scale"))
+        for b in breaks
+    ]
+    return F.array(*eras).cast(CHANNEL["breaks"].dataType)
+
+
 def _lake_channels(spark, sites):
     from datetime import date
 
@@ -104,8 +113,13 @@ def _lake_channels(spark, sites):
         {"site_id": "*", "canonical": "temp_c", "metric_id": 4, "offset": -32.0, "scale": 5.0 / 9,
          "breaks": [(date(2024, 1, 15), 0.0, 1.0)]},
     ]
-    spec = channel_map(spark, rows).drop("site_id")
-    return sites.select("site_id").crossJoin(F.broadcast(spec))
+    fields = [f.name for f in CHANNEL][1:]
+    spec = [row.asDict() for row in channel_map(spark, rows).collect()]
+    one = lambda row: F.struct(*[F.lit(row[f]).cast(CHANNEL[f].dataType).alias(f) if f != "breaks"
+                                 else _eras(row[f]).alias(f) for f in fields])
+    return sites.select("site_id", F.explode(F.array(*[one(row) for row in spec])).alias("c")).select(
+        "site_id", "c.*"
+    )
 
 
 def lake_canonical(spark, sf):
@@ -164,18 +178,16 @@ def expected_power(spark, sf):
 
 
 def clearsky_curve(spark, sf):
-    days = views.table(spark, sf, "events").select(F.to_date("ts").alias("d")).distinct()
-    hours = days.withColumn("h", F.explode(F.sequence(F.lit(0), F.lit(23))))
-    # each day-hour carries the site list: the grid is a join of two small dimensions
-    grid = hours.join(
-        views.table(spark, sf, "nation").select(
-            "n_nationkey", (F.col("n_nationkey") * 2.0 - 25).alias("lat")
-        )
+    days = views.table(spark, sf, "events").select(
+        (F.col("user_id") % 25).alias("site"), F.to_date("ts").alias("d")
+    ).distinct()
+    grid = days.withColumn("h", F.explode(F.sequence(F.lit(0), F.lit(23)))).withColumn(
+        "lat", F.col("site") * 2.0 - 25
     )
     ts = F.col("d").cast("timestamp") + F.make_dt_interval(hours=F.col("h"))
     poa = clearsky_poa(ts, F.col("lat"), F.lit(0.0), F.lit(25.0), F.lit(180.0))
     return grid.select(
-        F.col("n_nationkey").alias("site"), F.date_format("d", "yyyy-MM-dd").alias("day"),
+        "site", F.date_format("d", "yyyy-MM-dd").alias("day"),
         F.col("h").cast("long").alias("hour"), F.round(poa, 5).alias("poa"),
     )
 

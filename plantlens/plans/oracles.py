@@ -336,8 +336,8 @@ sun AS (
 
 CLEARSKY = """
 g AS (
-  SELECT n_nationkey AS k, n_nationkey * 2.0::DOUBLE - 25 AS lat, 25.0::DOUBLE AS tilt, 180.0::DOUBLE AS az, e.d, t.h
-  FROM nation CROSS JOIN (SELECT DISTINCT CAST(ts AS DATE) AS d FROM events) e CROSS JOIN range(24) t(h)),""" + SUN_STEPS
+  SELECT e.k, e.k * 2.0::DOUBLE - 25 AS lat, 25.0::DOUBLE AS tilt, 180.0::DOUBLE AS az, e.d, t.h
+  FROM (SELECT DISTINCT user_id % 25 AS k, CAST(ts AS DATE) AS d FROM events) e CROSS JOIN range(24) t(h)),""" + SUN_STEPS
 
 CANONICAL = PLANT + """,
 g AS (SELECT *, d + h * INTERVAL 1 HOUR AS t, 35.0::DOUBLE AS lat, 25.0::DOUBLE AS tilt, 180.0::DOUBLE AS az FROM plant),""" \

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.timeparts import localized, with_local_clock
 from ..functions.units import convert, mask_sentinels
 from ..operators.align import (
-    attach_sites, interval_spine, last_value_per_channel, resample_mean,
+    attach_on, attach_sites, interval_spine, last_value_per_channel, resample_mean,
 )
 from ..operators.daily import clamp_stamps
 from ..schema import CSV_SENTINELS, INTERVAL, INVERTER, LAKE, conform
@@ -45,9 +45,8 @@ def channel_grid(raw: DataFrame, sites: DataFrame, channels: DataFrame) -> DataF
     ``raw``: site_id, measured_on, metric_id, value and order columns.
     """
     used = channels.select("site_id", "metric_id").distinct()
-    # the sorted order columns decide which copy of a stamp wins
     df = raw.withColumn("value", mask_sentinels(F.col("value")))
-    df = df.join(used, ["site_id", "metric_id"], "left_semi")
+    df = attach_on(df, used, ["site_id", "metric_id"], "measured_on", "inner")
     df = last_value_per_channel(df, ["site_id", "metric_id", "measured_on"], ORDER)
     df = attach_sites(df, sites, ["tz", "stamp_tz", "interval_min"], spread="measured_on")
     df = df.withColumn(
@@ -73,7 +72,7 @@ def canonical_from_grid(grid: DataFrame, sites: DataFrame, channels: DataFrame)
         F.count_if(F.col("canonical") == "ac_power_kw").alias("_parts")
     )
     spec = plant.select("site_id", "metric_id", "canonical", "offset", "scale", "breaks")
-    df = grid.join(spec, ["site_id", "metric_id"]).withColumn(
+    df = attach_on(grid, spec, ["site_id", "metric_id"], "local_date", "inner").withColumn(
         "value", convert(F.col("value"), F.col("local_ts"), F.col("offset"), F.col("scale"),
                          F.col("breaks"))
     )
@@ -113,9 +112,9 @@ def load_lake_inverters(
     """Lake -> long inverter frame (S6); ``part_no`` gives the fleet order."""
     inv = channels.where(F.col("canonical") == "inverter")
     grid = channel_grid(scan_lake(spark, path, metrics, site_id, years), sites, inv)
-    df = grid.join(
-        inv.select("site_id", "metric_id", "part_no", "offset", "scale", "breaks"),
-        ["site_id", "metric_id"],
+    df = attach_on(
+        grid, inv.select("site_id", "metric_id", "part_no", "offset", "scale", "breaks"),
+        ["site_id", "metric_id"], "local_date", "inner",
     )
     return conform(
         df.withColumn("inverter", F.format_string("inv_%02d", "part_no")).withColumn(
@@ -141,8 +140,6 @@ def preferred_files(files: list[str]) -> list[str]:
 def channel_manifest(names: DataFrame) -> DataFrame:
     """Distinct channel names, sorted and numbered from 1 (U3). ``names`` holds one
     row per source column, so it is bounded by the files' headers."""
-    from pyspark.sql import Window
-
     return names.select("name").distinct().withColumn(
         "metric_id", F.row_number().over(Window.orderBy("name"))
     )
