@@ -5,10 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantlens.llm import decontam
+from plantlens.llm import decontam, jaccard, langid
 from plantlens.llm.common import read
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return langid.language_of(docs).select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontam.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     digest = F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256")
@@ -16,6 +25,8 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_ngram_jaccard": op2_ngram_jaccard,
+    "op9_language_id": op9_language_id,
     "op7_decontamination": op7_decontamination,
 }
 
