@@ -95,20 +95,44 @@ def best_pattern(sizes: np.ndarray, values: np.ndarray, capacity: int) -> tuple[
     return float(best[capacity]), counts
 
 
-def cutting_stock(sizes: np.ndarray, demand: np.ndarray, capacity: int, rounds: int = 1500) -> list[tuple[np.ndarray, int]]:
+def greedy_patterns(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """First-fit decreasing on fractions: one pattern for each class, which it uses up, and its share.
+
+    Later patterns leave used-up classes out, so the patterns are a triangular,
+    feasible basis.
+    """
+    left, patterns, share = demand.astype(float), [], []
+    by_size = np.argsort(-sizes)
+    while len(patterns) < len(sizes):
+        room, pattern = capacity, np.zeros(len(sizes), np.int64)
+        for i in by_size:
+            if left[i] > 0:
+                n = min(max(1, int(left[i])), room // sizes[i])
+                pattern[i], room = n, room - n * sizes[i]
+        held = np.flatnonzero(pattern)
+        ratio = left[held] / pattern[held]
+        low = int(ratio.argmin())
+        n = ratio[low]
+        left[held] = np.maximum(left[held] - n * pattern[held], 1e-12)
+        left[held[low]] = 0
+        patterns.append(pattern)
+        share.append(n)
+    return patterns, np.array(share)
+
+
+def cutting_stock(sizes: np.ndarray, demand: np.ndarray, capacity: int, rounds: int = 250) -> list[tuple[np.ndarray, int]]:
     """Patterns and how often each is used, so that every class's demand is met exactly.
 
     Revised simplex on the linear program over patterns: its columns are priced
-    by the knapsack, starting from patterns of one size. The solution is rounded
+    by the knapsack, starting from first-fit decreasing. The solution is rounded
     down; what is left over, at most one sequence's worth of items for each
     pattern, is packed first-fit decreasing.
     """
     m = len(sizes)
     if not m:
         return []
-    patterns = [np.eye(m, dtype=np.int64)[i] * max(1, capacity // sizes[i]) for i in range(m)]
-    inverse = np.diag([1.0 / p.max() for p in patterns])
-    x = inverse @ demand
+    patterns, x = greedy_patterns(sizes, demand, capacity)
+    inverse = np.linalg.inv(np.array(patterns, float).T)
     last = np.inf
     for turn in range(rounds):
         value, column = best_pattern(sizes, inverse.sum(axis=0), capacity)

@@ -5,14 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantlens.llm import decontam, jaccard, langid
+from plantlens.llm import debruijn, decontam, jaccard, langid, packing
 from plantlens.llm.common import read
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = debruijn.without_repeats(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return langid.language_of(docs).select("doc_id", "held_out", "lang_pred", "score", "rejected")
@@ -25,6 +40,8 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
+    "op8_packing": op8_packing,
     "op2_ngram_jaccard": op2_ngram_jaccard,
     "op9_language_id": op9_language_id,
     "op7_decontamination": op7_decontamination,
