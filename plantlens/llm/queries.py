@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantlens.llm import debruijn, decontam, jaccard, langid, packing
+from plantlens.llm import debruijn, decontam, jaccard, langid, packing, suffixes
 from plantlens.llm.common import read
 
 
@@ -33,6 +33,11 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_of(docs).select("doc_id", "held_out", "lang_pred", "score", "rejected")
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffixes.without_repeats(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontam.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     digest = F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256")
@@ -40,6 +45,7 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op1_substring_dedup": op1_substring_dedup,
     "op8_packing": op8_packing,
     "op2_ngram_jaccard": op2_ngram_jaccard,
