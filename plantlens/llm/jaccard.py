@@ -23,8 +23,8 @@ FRAGMENTS = 8
 #: The most frequent shingles, by documents that have them in the prefix, come last in the order.
 #: The list only orders, so its bound costs time where there are more of them, never a link.
 HOT_SHINGLES, HOT_DOCS = 65_536, 48
-#: Rounds of comparing the documents of a block with one leader before all others are paired.
-LEADER_ROUNDS = 2
+#: Leaders of a block that its documents are compared with before all others are paired.
+LEADERS = 2
 
 
 def sets_of(batch: pa.RecordBatch):
@@ -52,14 +52,17 @@ def meta_of(docs: DataFrame) -> DataFrame:
 
 
 def prefixes_of(docs: DataFrame, hot: np.ndarray) -> DataFrame:
-    """(key, n, token): the first fragment of each document, ``hot`` (rarest first) being last in the order."""
+    """(key, n, token, late): the first fragment of each document, ``hot`` (rarest first) being last in the order.
+
+    ``late`` marks shingles that are in it only because hot ones moved behind them.
+    """
     order = np.argsort(hot)
     ranked = hot[order]
 
     def run(batches):
         for batch in batches:
             keys = batch.column("key").to_numpy()
-            key, size, token = [], [], []
+            key, size, token, late = [], [], [], []
             for i, s in sets_of(batch):
                 if not len(s):
                     continue
@@ -73,14 +76,15 @@ def prefixes_of(docs: DataFrame, hot: np.ndarray) -> DataFrame:
                 else:
                     part = s[:p]
                 token.append(part)
+                late.append(part > s[p - 1])
                 key.append(np.full(p, keys[i]))
                 size.append(np.full(p, len(s), np.int64))
             if token:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(key), pa.int64()), pa.array(np.concatenate(size)),
-                     pa.array(np.concatenate(token).view(np.int64))], names=["key", "n", "token"])
+                     pa.array(np.concatenate(token).view(np.int64)), pa.array(np.concatenate(late))], names=["key", "n", "token", "late"])
 
-    return docs.select("key", "text").mapInArrow(run, "key long, n long, token long")
+    return docs.select("key", "text").mapInArrow(run, "key long, n long, token long, late boolean")
 
 
 def fragments_of(docs: DataFrame) -> DataFrame:
@@ -105,8 +109,11 @@ def fragments_of(docs: DataFrame) -> DataFrame:
     return docs.select("key", "text").mapInArrow(run, "key long, n long, part int, hashes array<long>")
 
 
-def verified(pairs: DataFrame, parts: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (a, b) that link: partial overlaps of equal fragments, summed per pair."""
+    pairs = cut(pairs, "promising")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    parts = cut(fragments_of(docs.join(sized(ends), "key", "left_semi")), "parts")
     left = parts.select(F.col("key").alias("a"), "part", F.col("hashes").alias("ha"))
     right = parts.select(F.col("key").alias("b"), "part", F.col("hashes").alias("hb"))
     partial = pairs.join(left, "a").join(right, ["b", "part"]).select(
@@ -143,45 +150,36 @@ def linked(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """(node, root): components of more than one class among the documents with ``keys``, one for each class.
 
     A block is the documents that share a prefix shingle. First each is compared
-    with its block's leader, so that a large group of near copies costs one pair
+    with its block's leaders, so that a large group of near copies costs one pair
     for each member. Then every pair of a block that is not yet in one component
     is compared: no link that could join two components is left out.
     """
     reps = docs.join(sized(keys), "key", "left_semi")
-    counts = prefixes_of(reps, np.zeros(0, np.uint64)).groupBy("token").count()
+    counts = cut(prefixes_of(reps, np.zeros(0, np.uint64)).groupBy("token").count().filter("count > 1"), "shared")
     top = counts.filter(F.col("count") >= HOT_DOCS).orderBy(F.desc("count"), "token").limit(HOT_SHINGLES).collect()
     hot = np.array([r["token"] for r in reversed(top)], np.int64).view(np.uint64)
-    first = prefixes_of(reps, hot)
-    shared = cut(first.groupBy("token").count().filter("count > 1").select("token"), "shared")
-    posts = cut(first.join(sized(shared), "token"), "posts")
+    # shingles of one document alone stay out, but for late ones, which have not been counted
+    shared = counts.select("token", F.lit(True).alias("again"))
+    posts = prefixes_of(reps, hot).join(sized(shared), "token", "left").filter("again or late")
+    posts = cut(posts.select("token", "key", "n"), "posts")
     heads = cut(posts.groupBy("key").agg(F.collect_list("token").alias("head")), "heads")
-    members = heads.select("key")
-    parts = cut(fragments_of(docs.join(sized(members), "key", "left_semi")), "parts")
-    links, tested, blocks = None, None, posts
-    for turn in range(LEADER_ROUNDS + 1):
-        if turn < LEADER_ROUNDS:
-            lead = blocks.groupBy("token").agg(F.min(F.struct(F.xxhash64("key", F.lit(turn)).alias("h"), "key", "n")).alias("l"))
-            rows = blocks.join(lead, "token").select(
-                F.col("key").alias("x"), F.col("n").alias("nx"), F.col("l.key").alias("y"), F.col("l.n").alias("ny"))
-        else:
-            one, two = blocks.alias("u"), blocks.alias("v")
-            rows = one.join(two, F.expr("u.token = v.token and u.root < v.root and 5 * least(u.n, v.n) >= 4 * greatest(u.n, v.n)")).selectExpr(
-                "u.key as x", "u.n as nx", "v.key as y", "v.n as ny")
-        pairs = pairs_of(rows)
-        pairs = pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = cut(pairs, "pairs")
-        found = cut(verified(promising(pairs, heads), parts), "links")
-        links = found if links is None else links.unionByName(found)
-        roots = components(links, "near")
-        if turn == LEADER_ROUNDS:
-            return roots
-        tested = pairs.select("a", "b") if tested is None else tested.unionByName(pairs.select("a", "b"))
-        named = posts.join(roots, F.col("key") == F.col("node"), "left").select(
-            "token", "key", "n", F.coalesce("root", "key").alias("root"))
-        mixed = named.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("token")
-        blocks = cut(named.join(mixed, "token"), "blocks")
-        if not blocks.limit(1).count():
-            return roots
+    ends = F.struct("key", "n")
+    lead = posts.groupBy("token").agg(F.count("*").alias("members"), *[
+        F.min(F.struct(F.xxhash64("key", F.lit(turn)).alias("h"), ends.alias("end"))).alias(f"l{turn}") for turn in range(LEADERS)])
+    lead = lead.filter("members > 1").select("token", F.explode(F.array_distinct(F.array(*[f"l{t}.end" for t in range(LEADERS)]))).alias("l"))
+    pairs = cut(pairs_of(posts.join(lead, "token").select(
+        F.col("key").alias("x"), F.col("n").alias("nx"), F.col("l.key").alias("y"), F.col("l.n").alias("ny"))), "pairs")
+    links = cut(verified(promising(pairs, heads), docs), "links")
+    roots = components(links, "near")
+    named = posts.join(roots, F.col("key") == F.col("node"), "left").select(
+        "token", "key", "n", F.coalesce("root", "key").alias("root"))
+    mixed = named.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("token")
+    blocks = cut(named.join(mixed, "token"), "blocks")
+    one, two = blocks.alias("u"), blocks.alias("v")
+    rows = one.join(two, F.expr(f"u.token = v.token and u.root < v.root and {DEN} * least(u.n, v.n) >= {NUM} * greatest(u.n, v.n)"))
+    rest = pairs_of(rows.selectExpr("u.key as x", "u.n as nx", "v.key as y", "v.n as ny")).join(pairs, ["a", "b"], "left_anti")
+    more = cut(verified(promising(rest, heads), docs), "links")
+    return components(links.unionByName(more), "near") if more.limit(1).count() else roots
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

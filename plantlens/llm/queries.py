@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantlens.llm import debruijn, decontam, jaccard, langid, packing, suffixes
+from plantlens.llm import debruijn, decontam, jaccard, langid, packing, suffixes, topk, toxicity
 from plantlens.llm.common import read
 
 
@@ -38,6 +38,14 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontam.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     digest = F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256")
@@ -45,6 +53,8 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_toxicity": op4_toxicity,
+    "op5_exact_topk": op5_exact_topk,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op1_substring_dedup": op1_substring_dedup,
     "op8_packing": op8_packing,
