@@ -13,7 +13,12 @@ from plantlens.session import work_dir
 BROADCAST_ROWS = 4_000_000
 
 
+#: Rows that a Python worker gets at once: whole texts, so that few bound its memory.
+BATCH_ROWS = 1000
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -53,9 +58,7 @@ def keyed(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def restored(rows: DataFrame) -> DataFrame:
     """One row for each of the ``copies`` that ``keyed`` collapsed."""
-    one = rows.filter("copies = 1")
-    more = rows.filter("copies > 1").withColumn("_n", F.explode(F.expr("sequence(1L, copies)"))).drop("_n")
-    return one.unionByName(more).drop("copies")
+    return rows.withColumn("_n", F.explode(F.expr("sequence(1L, copies)"))).drop("_n", "copies")
 
 
 def crc_of(col: str) -> Column:
