@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantlens.llm import debruijn, decontam, jaccard, langid, packing, suffixes, topk, toxicity
+from plantlens.llm import debruijn, decontam, jaccard, langid, packing, pii, suffixes, topk, toxicity
 from plantlens.llm.common import read
 
 
@@ -46,6 +46,14 @@ def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.detect(docs, pii.fit_on(docs), "doc_id")
+    count = lambda k: F.size(F.filter("spans", lambda s: ~s["added"] & (s["kind"] == k))).cast("long").alias(f"n_{k}")
+    every = pii.joined("spans", False)
+    return found.select("doc_id", *map(count, pii.KINDS), F.sha2(pii.joined("spans", True), 256).alias("base_sha256"), every.alias("spans"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontam.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     digest = F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256")
@@ -53,6 +61,7 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op6_pii": op6_pii,
     "op4_toxicity": op4_toxicity,
     "op5_exact_topk": op5_exact_topk,
     "op3_suffix_dedup": op3_suffix_dedup,
