@@ -1,22 +1,66 @@
-"""A corpus pipeline of the operators: each stage takes and returns documents."""
+"""A corpus pipeline of five operators, each over all that the stage before it kept.
+
+Language identification, near-duplicate groups, benchmark decontamination,
+personal data, packing. All stages but the last return documents. Models are
+fitted on the stage's own input.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantlens.llm import decontam
-from plantlens.llm.common import cut, read
+from plantlens.llm import decontam, jaccard, langid, packing, pii
+from plantlens.llm.common import bounded, cut, read, sized
+from plantlens.llm.queries import tokenizer_path
+
+
+def in_a_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is told; those without a letter or far from every model go."""
+    bounded(spark)
+    told = langid.identify(docs, langid.fit_on(docs), *docs.columns)
+    return told.filter("not rejected").select(*docs.columns)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of the smallest doc_id of each near-duplicate group, once."""
+    bounded(spark)
+    found = cut(jaccard.near_duplicates(docs.select("doc_id", "text")), "near")
+    kept = cut(found.filter("doc_id <=> component_id").select(F.col("doc_id").alias("kept_id"), "class_id").distinct(), "kept")
+    out = docs.join(sized(kept.select("kept_id")), F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    twice = found.groupBy("doc_id").count().filter("count > 1").limit(1).count()
+    return out.dropDuplicates(["doc_id"]) if twice else out
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of a benchmark item."""
-    found = decontam.contamination(docs, read(spark, sf_dir, "benchmark"))
-    clean = found.filter("not contaminated").select("doc_id").distinct()
-    return docs.join(clean, docs["doc_id"].eqNullSafe(clean["doc_id"]), "left_semi")
+    found = decontam.contamination(docs.select("doc_id", "text"), read(spark, sf_dir, "benchmark"))
+    hit = cut(found.filter("contaminated").select(F.col("doc_id").alias("hit_id")).distinct(), "hit")
+    return docs.join(sized(hit), F.col("doc_id").eqNullSafe(F.col("hit_id")), "left_anti")
+
+
+def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with each personal item replaced by its kind; n_chars follows the text."""
+    bounded(spark)
+    clean = pii.masked(docs, pii.fit_on(docs.select("doc_id", "text")), *docs.columns)
+    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences."""
+    bounded(spark)
+    return packing.pack(docs.select("doc_id", "text"), tokenizer_path())
+
 
+STAGES = [
+    ("language", in_a_language),
+    ("near_duplicates", one_of_each_group),
+    ("decontamination", without_benchmark),
+    ("personal_data", without_personal_data),
+    ("packing", packed),
+]
 
-STAGES = [("decontamination", without_benchmark)]
+#: Trained stages are not SQL; the tests hold the pipeline against a brute-force version.
 ORACLE_SQL = None
 
 

@@ -17,8 +17,12 @@ BROADCAST_ROWS = 4_000_000
 BATCH_ROWS = 1000
 
 
-def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def bounded(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

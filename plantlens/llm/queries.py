@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantlens.llm import debruijn, decontam, jaccard, langid, packing, pii, suffixes, topk, toxicity
+from plantlens.llm import debruijn, decontam, jaccard, langid, packing, pages, pii, suffixes, topk, toxicity
 from plantlens.llm.common import read
 
 
@@ -60,7 +60,13 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "pages")
+    return pages.extract(rows, pages.fit_on(rows)).select("page_id", "url", "text", "n_chars")
+
+
 QUERIES = {
+    "op10_html_text": op10_html_text,
     "op6_pii": op6_pii,
     "op4_toxicity": op4_toxicity,
     "op5_exact_topk": op5_exact_topk,
