@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import uuid
+import sys
+import types
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -94,5 +95,7 @@ def components(links: DataFrame, name: str) -> DataFrame:
         label = label.select("node", "root")
 
 
-def unique_name(prefix: str) -> str:
-    return f"{prefix}_{uuid.uuid4().hex[:8]}"
+def worker_memo(name: str) -> dict:
+    """A dict that lives as long as the Python process of a worker, over all tasks it runs."""
+    home = sys.modules.setdefault("_plantlens_memo", types.ModuleType("_plantlens_memo"))
+    return vars(home).setdefault(name, {})

@@ -23,8 +23,6 @@ FRAGMENTS = 8
 #: The most frequent shingles, by documents that have them in the prefix, come last in the order.
 #: The list only orders, so its bound costs time where there are more of them, never a link.
 HOT_SHINGLES, HOT_DOCS = 65_536, 48
-#: Leaders of a block that its documents are compared with before all others are paired.
-LEADERS = 2
 
 
 def sets_of(batch: pa.RecordBatch):
@@ -52,9 +50,10 @@ def meta_of(docs: DataFrame) -> DataFrame:
 
 
 def prefixes_of(docs: DataFrame, hot: np.ndarray) -> DataFrame:
-    """(key, n, token, late): the first fragment of each document, ``hot`` (rarest first) being last in the order.
+    """(key, n, share, token, pos, late): the first fragment of each document, ``hot`` (rarest first) being last in the order.
 
-    ``late`` marks shingles that are in it only because hot ones moved behind them.
+    ``late`` marks shingles that are in it only because hot ones moved behind
+    them; ``share`` is the thousandths of the document's shingles that are hot.
     """
     order = np.argsort(hot)
     ranked = hot[order]
@@ -62,7 +61,7 @@ def prefixes_of(docs: DataFrame, hot: np.ndarray) -> DataFrame:
     def run(batches):
         for batch in batches:
             keys = batch.column("key").to_numpy()
-            key, size, token, late = [], [], [], []
+            key, size, share, token, pos, late = [], [], [], [], [], []
             for i, s in sets_of(batch):
                 if not len(s):
                     continue
@@ -72,19 +71,22 @@ def prefixes_of(docs: DataFrame, hot: np.ndarray) -> DataFrame:
                     is_hot = ranked[at] == s
                     cold = s[~is_hot]
                     s2 = cold if len(cold) >= p else np.concatenate((cold, hot[np.sort(order[at[is_hot]])]))
-                    part = s2[:p]
+                    part, heat = s2[:p], 1000 * int(is_hot.sum()) // len(s)
                 else:
-                    part = s[:p]
+                    part, heat = s[:p], 0
                 token.append(part)
                 late.append(part > s[p - 1])
+                share.append(np.full(p, heat, np.int32))
+                pos.append(np.arange(p, dtype=np.int32))
                 key.append(np.full(p, keys[i]))
                 size.append(np.full(p, len(s), np.int64))
             if token:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(key), pa.int64()), pa.array(np.concatenate(size)),
-                     pa.array(np.concatenate(token).view(np.int64)), pa.array(np.concatenate(late))], names=["key", "n", "token", "late"])
+                    [pa.array(np.concatenate(key), pa.int64()), pa.array(np.concatenate(size)), pa.array(np.concatenate(share)),
+                     pa.array(np.concatenate(token).view(np.int64)), pa.array(np.concatenate(pos)), pa.array(np.concatenate(late))],
+                    names=["key", "n", "share", "token", "pos", "late"])
 
-    return docs.select("key", "text").mapInArrow(run, "key long, n long, token long, late boolean")
+    return docs.select("key", "text").mapInArrow(run, "key long, n long, share int, token long, pos int, late boolean")
 
 
 def fragments_of(docs: DataFrame) -> DataFrame:
@@ -136,11 +138,22 @@ def promising(pairs: DataFrame, heads: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").filter(need).select("a", "b", "na", "nb")
 
 
+def meets(x: str, y: str) -> str:
+    """SQL: two documents of similar size meet in a block as they need to in one of their blocks.
+
+    The overlap of linked documents is at least 8/9 of the smaller one (the one
+    of smaller key, of equals), so among its first shingles up to that share is
+    one that the larger one has in its prefix.
+    """
+    early = "{0}.pos < {0}.n - (8 * {0}.n + 8) div 9 + 1"
+    return (f"{DEN} * least({x}.n, {y}.n) >= {NUM} * greatest({x}.n, {y}.n) and "
+            f"if({x}.n < {y}.n or ({x}.n = {y}.n and {x}.key < {y}.key), {early.format(x)}, {early.format(y)})")
+
+
 def pairs_of(rows: DataFrame) -> DataFrame:
-    """Distinct pairs (a < b) of similar size out of (x, nx, y, ny)."""
+    """Distinct pairs (a < b) out of (x, nx, y, ny)."""
     low = F.col("x") < F.col("y")
-    near = DEN * F.least("nx", "ny") >= NUM * F.greatest("nx", "ny")
-    return rows.filter((F.col("x") != F.col("y")) & near).select(
+    return rows.select(
         F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"),
         F.when(low, F.col("nx")).otherwise(F.col("ny")).alias("na"),
         F.when(low, F.col("ny")).otherwise(F.col("nx")).alias("nb")).distinct()
@@ -161,22 +174,26 @@ def linked(docs: DataFrame, keys: DataFrame) -> DataFrame:
     # shingles of one document alone stay out, but for late ones, which have not been counted
     shared = counts.select("token", F.lit(True).alias("again"))
     posts = prefixes_of(reps, hot).join(sized(shared), "token", "left").filter("again or late")
-    posts = cut(posts.select("token", "key", "n"), "posts")
+    posts = cut(posts.select("token", "key", "n", "pos", "share"), "posts")
     heads = cut(posts.groupBy("key").agg(F.collect_list("token").alias("head")), "heads")
-    ends = F.struct("key", "n")
-    lead = posts.groupBy("token").agg(F.count("*").alias("members"), *[
-        F.min(F.struct(F.xxhash64("key", F.lit(turn)).alias("h"), ends.alias("end"))).alias(f"l{turn}") for turn in range(LEADERS)])
-    lead = lead.filter("members > 1").select("token", F.explode(F.array_distinct(F.array(*[f"l{t}.end" for t in range(LEADERS)]))).alias("l"))
-    pairs = cut(pairs_of(posts.join(lead, "token").select(
-        F.col("key").alias("x"), F.col("n").alias("nx"), F.col("l.key").alias("y"), F.col("l.n").alias("ny"))), "pairs")
+    # leaders: of the most hot shingles, as the text that the others were made from has, and by a hash alike in all blocks
+    ends = F.struct("key", "n", "pos")
+    order = F.xxhash64("key")
+    lead = posts.groupBy("token").agg(
+        F.count("*").alias("members"), F.min(F.struct(-F.col("share"), order, ends.alias("end"))).alias("l0"),
+        F.min(F.struct(order, ends.alias("end"))).alias("l1"))
+    lead = lead.filter("members > 1").select("token", F.explode(F.array_distinct(F.array("l0.end", "l1.end"))).alias("l"))
+    lead = lead.select("token", "l.*").alias("v")
+    met = posts.alias("u").join(lead, F.expr(f"u.token = v.token and u.key <> v.key and {meets('u', 'v')}"))
+    pairs = cut(pairs_of(met.selectExpr("u.key as x", "u.n as nx", "v.key as y", "v.n as ny")), "pairs")
     links = cut(verified(promising(pairs, heads), docs), "links")
     roots = components(links, "near")
     named = posts.join(roots, F.col("key") == F.col("node"), "left").select(
-        "token", "key", "n", F.coalesce("root", "key").alias("root"))
+        "token", "key", "n", "pos", F.coalesce("root", "key").alias("root"))
     mixed = named.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("token")
     blocks = cut(named.join(mixed, "token"), "blocks")
     one, two = blocks.alias("u"), blocks.alias("v")
-    rows = one.join(two, F.expr(f"u.token = v.token and u.root < v.root and {DEN} * least(u.n, v.n) >= {NUM} * greatest(u.n, v.n)"))
+    rows = one.join(two, F.expr(f"u.token = v.token and u.root < v.root and {meets('u', 'v')}"))
     rest = pairs_of(rows.selectExpr("u.key as x", "u.n as nx", "v.key as y", "v.n as ny")).join(pairs, ["a", "b"], "left_anti")
     more = cut(verified(promising(rest, heads), docs), "links")
     return components(links.unionByName(more), "near") if more.limit(1).count() else roots

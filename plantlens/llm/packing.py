@@ -9,12 +9,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from plantlens.llm.common import cut, keyed, sized
+from plantlens.llm.common import cut, keyed, sized, worker_memo
 
 CAPACITY = 2048
 END = 1
-#: Encodings of frequent words kept by a task; beyond that the cache starts anew.
-CACHED_WORDS, CACHED_LENGTH = 1_000_000, 64
+#: Encodings of words kept by a worker, and their greatest length; those met after that are encoded each time.
+CACHED_WORDS, CACHED_LENGTH = 400_000, 48
+#: Words whose new ones are encoded together.
+GROUP_WORDS = 200_000
 #: Documents for each bucket that ranks are counted in.
 BUCKET_ROWS = 20_000
 
@@ -28,44 +30,109 @@ def size_classes(capacity: int) -> np.ndarray:
     return np.array(sizes)
 
 
-def encoded(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
-    """(key, doc_tokens, pieces): lengths and checksums of each document's pieces.
+class WordEncoder:
+    """Ids of texts, from ids of their words.
 
-    A document is cut after each ``capacity`` ids. Words between ASCII white
-    space are encoded on their own, which the vocabulary's splitting allows, so
-    that frequent words are looked up instead of encoded again.
+    The vocabulary's own splitting ends at white space, and between letters and
+    marks. So a word between ASCII white space is encoded on its own, and one of
+    Latin letters with marks behind as those two. Frequent ones are kept for all
+    tasks of a worker; new ones are encoded many at a time.
     """
 
-    def run(batches):
+    MARKS = b".,!?:;%*#&$|\"'()"
+
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(tokenizer_path)
-        tokenizer.encode_special_tokens = True
-        cache: dict[bytes, bytes] = {}
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
+        self.words, self.parts = worker_memo(f"words {path}"), worker_memo(f"parts {path}")
+
+    def _each(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _letters(self, runs: list[str]) -> list[bytes]:
+        """Runs of letters, joined by blanks: the splitting numbers them."""
+        out: list[bytes] = []
+        for at in range(0, len(runs), 2000):
+            some = runs[at : at + 2000]
+            found = self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0]
+            ids, word = np.array(found.ids, "<u4"), np.array(found.word_ids)
+            if len(word) and word[-1] == len(some) - 1:
+                cuts = np.searchsorted(word, np.arange(len(some) + 1))
+                out += [ids[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+            else:
+                out += self._each(some)
+        return out
+
+    def known(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of the words that the memo lacks, of which it takes up what it has room for."""
+        split: dict[bytes, tuple[bytes, bytes]] = {}
+        runs, others = {}, []
+        for w in words:
+            head = w.rstrip(self.MARKS)
+            tail = w[len(head) :]
+            low = head.decode().lower()
+            if head and low.isalpha() and (low.isascii() or max(low) < "\u0250"):
+                key = low.encode()
+                split[w] = key, tail
+                if key not in self.parts:
+                    runs[key] = low
+                if tail and tail not in self.parts:
+                    others.append(tail)
+            else:
+                others.append(w)
+        fresh = dict(zip(runs, self._letters(list(runs.values())), strict=True))
+        others = list(dict.fromkeys(others))
+        fresh |= dict(zip(others, self._each([w.decode() for w in others]), strict=True))
+        new = {}
+        for w in words:
+            if w in split:
+                key, tail = split[w]
+                ids = fresh[key] if key in fresh else self.parts[key]
+                new[w] = ids + (fresh[tail] if tail in fresh else self.parts[tail]) if tail else ids
+            else:
+                new[w] = fresh[w]
+        for memo, found in ((self.parts, fresh), (self.words, new)):
+            for w, ids in found.items():
+                if len(memo) >= CACHED_WORDS:
+                    break
+                if len(w) <= CACHED_LENGTH:
+                    memo[w] = ids
+        return new
+
+    def documents(self, texts: list[bytes | None]):
+        """The ids of each text and the end mark, as little-endian bytes."""
         end = np.array([END], "<u4").tobytes()
+        held: list[list[bytes]] = []
+        n = 0
+        for i, data in enumerate(texts):
+            held.append((data or b"").split())
+            n += len(held[-1])
+            if n >= GROUP_WORDS or i == len(texts) - 1:
+                missing = {w for words in held for w in words if w not in self.words}
+                new = self.known(missing) if missing else {}
+                lookup = self.words.get
+                for words in held:
+                    yield b"".join([lookup(w) or new.get(w) or b"" for w in words]) + end
+                held, n = [], 0
+
 
-        def ids_of(words: list[bytes]) -> bytes:
-            missing = [w for w in set(words) if w not in cache]
-            if len(cache) + len(missing) > CACHED_WORDS:
-                cache.clear()
-                missing = list(set(words))
-            rare = {}
-            for at in range(0, len(missing), 10_000):
-                some = missing[at : at + 10_000]
-                for w, e in zip(some, tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False), strict=True):
-                    (cache if len(w) <= CACHED_LENGTH else rare)[w] = np.array(e.ids, "<u4").tobytes()
-            if rare:
-                return b"".join([cache[w] if w in cache else rare[w] for w in words])
-            return b"".join(map(cache.__getitem__, words))
+def encoded(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
+    """(key, doc_tokens, pieces): lengths and checksums of each document's pieces.
 
+    A document is cut after each ``capacity`` ids.
+    """
+
+    def run(batches):
+        words = WordEncoder(tokenizer_path)
+        kind = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("crc", pa.int64())]))
         for batch in batches:
             total, pieces = [], []
-            for data in batch.column("text").cast(pa.binary()).to_pylist():
-                ids = ids_of((data or b"").split()) + end
+            for ids in words.documents(batch.column("text").cast(pa.binary()).to_pylist()):
                 n = len(ids) // 4
                 total.append(n)
                 pieces.append([{"start": at, "length": min(capacity, n - at), "crc": zlib.crc32(ids[4 * at : 4 * (at + capacity)])} for at in range(0, n, capacity)])
-            kind = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("crc", pa.int64())]))
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(total, pa.int64()), pa.array(pieces, kind)], names=["key", "doc_tokens", "pieces"])
 
     return docs.select("key", "text").mapInArrow(run, "key long, doc_tokens long, pieces array<struct<start: long, length: long, crc: long>>")
