@@ -91,14 +91,17 @@ def interval_spine(spans: DataFrame, keys: list[str]) -> DataFrame:
     """Every label between ``first_ts`` and ``last_ts`` of each key.
 
     Exploded in two steps, day by day, so that no single row expands to a
-    whole plant history inside one array.
+    whole plant history inside one array; between them the days are dealt to
+    all tasks, as the few rows of ``spans`` lie in one.
     """
+    parts = int(spans.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     step = F.make_dt_interval(mins=F.col("interval_min"))
     day = F.make_dt_interval(days=F.lit(1))
     return (
         spans.withColumn(
             "_day", F.explode(F.sequence(F.col("first_ts"), F.col("last_ts"), day))
         )
+        .repartition(parts, *keys, "_day")
         .withColumn(
             "ts_utc",
             F.explode(

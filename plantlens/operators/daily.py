@@ -73,7 +73,10 @@ def _inside(day: str, lo: str, hi: str) -> Column:
 def add_flags(daily: DataFrame, windows: tuple[int, ...] = (30,), passes: int = FLAG_PASSES) -> DataFrame:
     """Self-excluding rolling baseline and the flags derived from it.
 
-    Needs ``coverage_min, flag_threshold, pi_ceiling, window_days``. All passes
+    Needs ``coverage_min, flag_threshold, pi_ceiling, window_days``. ``windows``
+    are the lengths in use; the largest bounds the rows collected, of which each
+    row takes its own ``window_days``, and a plant with a longer one is an error.
+    All passes
     share one partitioning and one order, so the whole fixpoint is a single
     shuffle of day rows; a pass after convergence changes nothing, so running
     the full number equals stopping early. One row per site and calendar day
@@ -82,21 +85,17 @@ def add_flags(daily: DataFrame, windows: tuple[int, ...] = (30,), passes: int =
     days = Window.partitionBy("site_id").orderBy("local_date")
     so_far = days.rowsBetween(Window.unboundedPreceding, 0)
 
+    longest = max(windows)
+    own = F.when(F.col("window_days") <= longest, F.col("window_days")).otherwise(
+        F.raise_error(F.concat(F.lit("window_days not among the windows in use: "), F.col("window_days")))
+    ).cast("int")
+
     def trailing_median(values: Column) -> Column:
-        branches = []
-        for n in windows:
-            frame = days.rowsBetween(-n, -1)
-            value = F.when(
-                F.count(values).over(frame) >= n // 2,
-                median_of(F.collect_list(values).over(frame)),
-            )
-            branches.append((n, value))
-        if len(branches) == 1:
-            return branches[0][1]
-        out = F.lit(None).cast("double")
-        for n, value in branches:
-            out = F.when(F.col("window_days") == n, value).otherwise(out)
-        return out
+        # days without a value count as days of the window
+        held = F.collect_list(F.struct(values.alias("v"))).over(days.rowsBetween(-longest, -1))
+        recent = F.slice(held, F.greatest(F.lit(1), F.size(held) - own + 1), own)
+        usable = F.filter(F.transform(recent, lambda d: d["v"]), lambda v: v.isNotNull())
+        return F.when(F.size(usable) >= F.floor(own / 2), median_of(usable))
 
     out = daily.withColumn(
         "pi", F.when(F.col("coverage") >= F.col("coverage_min"), F.col("pi"))

@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import DATA_GAP
-
-PREFIX = 3
+from ..session import cut_lineage
 
 
 def segments(labels: DataFrame) -> DataFrame:
@@ -96,8 +95,9 @@ def assign_events(rows: DataFrame) -> DataFrame:
     """Adds ``event_id = site:label:counter`` and the stable ``event_key``.
 
     The counter runs over all sites in order. It is the per-site running count
-    plus an offset, and the offsets come from sums over groups of sites sharing
-    a name prefix, so no step sorts all rows, or all sites, in one task.
+    plus an offset. The sites are cut into ranges of about equal size; offsets
+    are sums inside a range plus sums over the ranges, of which there is one for
+    each shuffle partition, so no step sorts all rows, or all sites, in one task.
     """
     w = Window.partitionBy("site").orderBy("date")
     opens = (
@@ -113,21 +113,22 @@ def assign_events(rows: DataFrame) -> DataFrame:
             w.rowsBetween(Window.unboundedPreceding, 0)
         ),
     )
-    sites = numbered.groupBy("site").agg(F.max("_local").alias("n")).withColumn(
-        "_prefix", F.substring("site", 1, PREFIX)
+    counts = numbered.groupBy("site").agg(F.max("_local").alias("n"))
+    # written, so that both readings see the same ranges
+    ranged = cut_lineage(
+        counts.repartitionByRange("site").withColumn("_range", F.spark_partition_id()), "event-counts"
     )
-    groups = sites.groupBy("_prefix").agg(F.sum("n").alias("n"))
-    before_group = Window.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
-    groups = groups.select(
-        "_prefix", F.coalesce(F.sum("n").over(before_group), F.lit(0)).alias("_group_off")
+    before_range = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranged.groupBy("_range").agg(F.sum("n").alias("n")).select(
+        "_range", F.coalesce(F.sum("n").over(before_range), F.lit(0)).alias("_range_off")
     )
     before_site = (
-        Window.partitionBy("_prefix").orderBy("site").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy("_range").orderBy("site").rowsBetween(Window.unboundedPreceding, -1)
     )
     offsets = (
-        sites.withColumn("_site_off", F.coalesce(F.sum("n").over(before_site), F.lit(0)))
-        .join(groups, "_prefix")
-        .select("site", (F.col("_site_off") + F.col("_group_off")).alias("_offset"))
+        ranged.withColumn("_site_off", F.coalesce(F.sum("n").over(before_site), F.lit(0)))
+        .join(ranges, "_range")
+        .select("site", (F.col("_site_off") + F.col("_range_off")).alias("_offset"))
     )
     return (
         numbered.join(offsets, "site")

@@ -541,18 +541,18 @@ def _holdout(name, **options):
 
 
 def loso_eval(spark, sf):
-    scored = evaluate.loso_predictions(_learnable(spark, sf), "logreg", max_iter=30)
+    scored = evaluate.loso_predictions(_learnable(spark, sf), "logreg")
     return evaluation.classification_report(scored, "final_label", "pred")
 
 
 def perm_importance(spark, sf):
-    bundle, scored = evaluate.holdout_predictions(_learnable(spark, sf), "logreg", max_iter=30)
+    bundle, scored = evaluate.holdout_predictions(_learnable(spark, sf), "logreg")
     return evaluate.permutation_importance(bundle, cut_lineage(scored, "holdout"))
 
 
 def confident_unclassified(spark, sf):
     rows = cut_lineage(_training(spark, sf), "training")
-    bundle = models.fit(splits.trainable(rows), "logreg", max_iter=30)
+    bundle = models.fit(splits.trainable(rows), "logreg")
     return evaluation.confident_counts(models.score(bundle, splits.unclassified(rows)))
 
 
@@ -567,7 +567,7 @@ def _streamed(spark, sf):
     """(batch training rows, streamed closed days) of the same plants."""
     sites = cut_lineage(views.geometry_sites(spark, sf), "sites")
     batch = cut_lineage(_batch_days(spark, sf).training, "batch")
-    scorer = linear_scorer(models.fit(splits.trainable(batch), "logreg", max_iter=30))
+    scorer = linear_scorer(models.fit(splits.trainable(batch), "logreg"))
     path = work_dir(spark, "stream")
     views.posted_lines(spark, sf).write.text(f"{path}/posted")
     lines = intake.read_lines(spark, f"{path}/posted")
@@ -652,8 +652,8 @@ QUERIES: dict[str, Query] = {
     "datum_upsert": datum_upsert,
     "pending_days": pending_days,
     "canonical_dataset": canonical_dataset,
-    "model_logreg": _holdout("logreg", max_iter=30),
-    "model_rf": _holdout("rf", trees=20),
+    "model_logreg": _holdout("logreg"),
+    "model_rf": _holdout("rf"),
     "model_gbt": _holdout("hgb", max_iter=5),
     "loso_eval": loso_eval,
     "perm_importance": perm_importance,

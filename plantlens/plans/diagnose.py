@@ -17,6 +17,7 @@ from ..operators.shape import day_shape
 from ..operators.trailing import trailing_context
 from ..operators.trend import daily_insolation, daily_pi, degradation, soiling
 from ..session import cut_lineage
+from ..sites import distinct_windows
 
 DAY_FACTS = ["ac_kw", "dc_kw", "n_units", "interval_min", "coverage_min", "flag_threshold",
              "pi_ceiling", "window_days", "has_poa", "has_met", "has_submeter"]
@@ -49,14 +50,14 @@ class Diagnosis:
 
 def diagnose(
     interval: DataFrame, sites: DataFrame, inverters: DataFrame | None = None,
-    windows: tuple[int, ...] = (30,), rules: list[Rule] | None = None, materialize: bool = False,
+    windows: tuple[int, ...] | None = None, rules: list[Rule] | None = None, materialize: bool = False,
 ) -> Diagnosis:
     """The whole diagnosis. With ``materialize`` the day table, which everything
     below reads, is written once to the shared folder instead of recomputed."""
     full = day_table(interval, sites)
     if materialize:
         full = cut_lineage(full, "days")
-    labelled = label_days(flagged_days(full, sites, windows), rules)
+    labelled = label_days(flagged_days(full, sites, windows or distinct_windows(sites)), rules)
     if inverters is None:
         referee = no_referee(interval.sparkSession)
     else:

@@ -26,11 +26,15 @@ def get_session(app: str = "plantlens", master: str | None = None, **conf) -> Sp
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the cluster's shared ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (local tests) a machine-local folder is
-    made and recorded in the session, so later calls share it.
+    Only in local mode, where one machine is all there is, a missing setting
+    is replaced by a local folder, recorded in the session so that later calls
+    share it. On a cluster it is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="plantlens-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"

@@ -175,3 +175,15 @@ def test_dead_run_and_plateau(spark):
     rows = [(0, 60 * h, {"ac_power_kw": 0.0 if 9 <= h <= 11 else 50.0, "expected_kw": 80.0}) for h in range(6, 19)]
     got = day_shape(interval(spark, rows), site(spark)).first()
     assert got["dead_run"] == 3 and got["plateau_run"] == 3
+
+
+def test_each_plant_has_its_own_baseline_window(spark):
+    """A plant of window 10 gets its baseline after 5 days, beside one of 30, after 15."""
+    days = daily(spark, [1.0] * 40, site_id="t").unionByName(daily(spark, [1.0] * 40, site_id="u"))
+    sites = site(spark, site_id="t", window_days=30).unionByName(site(spark, site_id="u", window_days=10))
+    both = with_facts(days, sites)
+    out = add_flags(both, (10, 30)).where("pi_baseline is null")
+    first = {r["site_id"]: r["n"] for r in out.groupBy("site_id").agg(F.count("*").alias("n")).collect()}
+    assert first == {"u": 5, "t": 15}
+    with pytest.raises(Exception, match="window_days"):
+        add_flags(both, (10,)).collect()
