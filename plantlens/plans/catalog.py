@@ -444,10 +444,7 @@ def yoy_pairs(spark, sf):
 
 
 def yoy_rate(spark, sf):
-    return (
-        trend.degradation(_full_pi(spark, sf)).where(F.col("rate").isNotNull())
-        .select("site_id", r("rate"), "n_pairs")
-    )
+    return trend.degradation(_full_pi(spark, sf)).select("site_id", r("rate"), "n_pairs")
 
 
 def degradation(spark, sf):
@@ -473,8 +470,7 @@ def soiling_intervals(spark, sf):
 
 
 def soiling_fits(spark, sf):
-    fits = trend.soiling_fits(_soil(spark, sf))
-    return fits.where(F.col("slope").isNotNull()).select("site_id", "interval_no", r("slope"))
+    return trend.soiling_fits(_soil(spark, sf)).select("site_id", "interval_no", r("slope"))
 
 
 def soiling_ratio(spark, sf):

@@ -572,7 +572,9 @@ def oracle_sql() -> dict[str, str]:
             FROM ev e JOIN ruled r ON r.site_id = e.site_id AND r.d BETWEEN e.a AND e.z
             GROUP BY e.site_id, e.seq, e.label, e.a, e.z"""),
         "yoy_rate": q(_PAIRS, """
-            SELECT site_id, round(median(rate), 6) AS rate, count(*) AS n_pairs FROM pairs GROUP BY site_id"""),
+,
+            rates AS (SELECT site_id, round(median(rate), 6) AS rate, count(*) AS n_pairs FROM pairs GROUP BY site_id)
+            SELECT span.site_id, rates.rate, rates.n_pairs FROM span LEFT JOIN rates ON rates.site_id = span.site_id"""),
         "yoy_pairs": q(_PAIRS, """
             SELECT site_id, d AS local_date, d0 AS paired_with, round(rate, 5) AS rate FROM pairs"""),
         "insolation": q(PLANT, """,
@@ -585,9 +587,11 @@ def oracle_sql() -> dict[str, str]:
         "soiling_fits": q(_SOIL, """,
             n0 AS (SELECT site_id, interval_no, min(d) AS start FROM s4 GROUP BY ALL),
             o AS (SELECT s4.site_id, s4.interval_no, s4.pi, date_diff('day', n0.start, s4.d) AS x FROM s4
-              JOIN n0 ON n0.site_id = s4.site_id AND n0.interval_no = s4.interval_no WHERE s4.pi IS NOT NULL)
-            SELECT a.site_id, CAST(a.interval_no AS BIGINT) AS interval_no, round(median((b.pi - a.pi) / (b.x - a.x)), 6) AS slope
-            FROM o a JOIN o b ON b.site_id = a.site_id AND b.interval_no = a.interval_no AND b.x > a.x GROUP BY ALL"""),
+              JOIN n0 ON n0.site_id = s4.site_id AND n0.interval_no = s4.interval_no WHERE s4.pi IS NOT NULL),
+            m AS (SELECT a.site_id, a.interval_no, round(median((b.pi - a.pi) / (b.x - a.x)), 6) AS slope
+              FROM o a JOIN o b ON b.site_id = a.site_id AND b.interval_no = a.interval_no AND b.x > a.x GROUP BY ALL)
+            SELECT n0.site_id, CAST(n0.interval_no AS BIGINT) AS interval_no, m.slope
+            FROM n0 LEFT JOIN m ON m.site_id = n0.site_id AND m.interval_no = n0.interval_no"""),
         "wide_to_long": """
             SELECT name, CAST(year(l_shipdate) AS BIGINT) AS year, count(*) AS n, round(sum(value), 3) AS total FROM (
               SELECT l_shipdate, 'l_quantity' AS name, l_quantity AS value FROM lineitem
