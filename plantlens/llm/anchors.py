@@ -169,7 +169,8 @@ def repeated_runs(docs: DataFrame, shape: Shape) -> tuple[DataFrame, DataFrame]:
     shared = cut(anchors_of(docs, shape).groupBy("anchor").count().filter("count > 1").select("anchor"), "anchors")
     runs = cut(hulls_of(docs, shape).join(sized(shared), "anchor"), "runs")
     hulls = cut(runs.groupBy(*HULL).agg(F.count("*").alias("n"), F.min(F.struct("key", "start")).alias("first")), "hulls")
-    kinds = hulls.groupBy("anchor").agg(F.count("*").alias("kinds")).filter("kinds > 1")
+    # written first: a join of two exchanges is one whose hot keys Spark can split
+    kinds = cut(hulls.groupBy("anchor").agg(F.count("*").alias("kinds")).filter("kinds > 1"), "branching")
     hulls = cut(hulls.join(kinds, "anchor", "left").select(*HULL, "n", "first", F.coalesce("kinds", F.lit(1)).alias("kinds")), "kinds")
     return runs, hulls
 

@@ -91,8 +91,8 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     for size in CHUNKS:
         rows = items.join(data, "id").join(places.select("id", "anchor", "off"), "id")
         rows = cut(chunks_of(rows, shape, size), "chunks")
-        same = rows.groupBy(*HULL_KEY).agg(F.count("*").alias("n"), F.min("id").alias("id"))
-        alike = same.groupBy(*CORE_KEY).agg(F.count("*").alias("kinds"))
+        same = cut(rows.groupBy(*HULL_KEY).agg(F.count("*").alias("n"), F.min("id").alias("id")), "same")
+        alike = cut(same.groupBy(*CORE_KEY).agg(F.count("*").alias("kinds")), "kinds")
         same = cut(same.join(alike, CORE_KEY).filter("n > 1 or kinds > 1"), "alike")
         again = rows.join(same.filter("n > 1").select(*HULL_KEY), HULL_KEY).select("id", "lo", "hi")
         at = again.join(places, "id").select(
