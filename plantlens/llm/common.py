@@ -66,6 +66,14 @@ def restored(rows: DataFrame) -> DataFrame:
     return rows.withColumn("_n", F.explode(F.expr("sequence(1L, copies)"))).drop("_n", "copies")
 
 
+def thinned(df: DataFrame, key: str, rows: int) -> DataFrame:
+    """About ``rows`` rows of a larger table, by a hash of ``key``: where samples for fitting are picked from."""
+    n = df.count()
+    if n <= rows:
+        return df
+    return df.filter(F.xxhash64(key) < F.lit(int(2**64 * (rows / n)) - 2**63))
+
+
 def crc_of(col: str) -> Column:
     return F.crc32(F.col(col).cast("string").cast("binary"))
 

@@ -59,13 +59,22 @@ def hits(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> DataFrame:
     prefix = cut(windows.join(rarest, "window_id").filter("low.n > 0").select(
         F.col("low.word").alias("rare"), F.col("low.offset").alias("offset"), "window", "item_ids",
         F.size(parts).alias("width")), "prefix")
-    prefix = sized(prefix, limit=BROADCAST_WINDOWS)
-    at = text.select("key", "words", F.posexplode_outer("words").alias("pos", "word"))
     first = F.col("pos") - F.col("offset")
-    fits = (F.lower("word") == F.col("rare")) & (first >= 0) & (first + F.col("width") <= F.size("words")) & (
-        joined(F.slice("words", first + 1, F.col("width"))) == F.col("window"))
-    return at.join(prefix, fits).select(
-        "key", (first + 1).alias("first"), (first + F.col("width")).alias("last"), "item_ids")
+    place = (F.lower("word") == F.col("rare")) & (first >= 0) & (first + F.col("width") <= F.col("n_words"))
+    if prefix.count() <= BROADCAST_WINDOWS:
+        at = text.select("key", "words", F.size("words").alias("n_words"), F.posexplode_outer("words").alias("pos", "word"))
+        found = at.join(F.broadcast(prefix), place & equal(first)).withColumn("first", first)
+    else:
+        # words move without their texts; a text then meets its candidates
+        at = text.select("key", F.size("words").alias("n_words"), F.posexplode_outer("words").alias("pos", "word"))
+        found = at.join(prefix, place).select("key", first.alias("first"), "width", "window", "item_ids")
+        found = found.join(text, "key").filter(equal(F.col("first")))
+    return found.select("key", (F.col("first") + 1).alias("first"), (F.col("first") + F.col("width")).alias("last"), "item_ids")
+
+
+def equal(first: Column) -> Column:
+    """Whether the words from ``first`` (0-based) on are the window's."""
+    return joined(F.slice("words", first + 1, F.col("width"))) == F.col("window")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> DataFrame:

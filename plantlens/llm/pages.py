@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plantlens.llm.common import thinned
 from plantlens.llm.lstm import Adam, BiLSTM
 
 #: Pages that the labeller is fitted on, in the order of a hash of page_id.
@@ -255,7 +256,7 @@ def fit(pages: list[str]) -> Labeller | None:
 
 def fit_on(pages: DataFrame) -> Labeller | None:
     """A labeller of up to FIT_PAGES pages, labelled by a teacher that reads telling element names."""
-    rows = pages.filter("html is not null").select("page_id", "html").orderBy(F.xxhash64("page_id"), "page_id", F.xxhash64("html")).limit(FIT_PAGES).collect()
+    rows = thinned(pages, "page_id", 50 * FIT_PAGES).filter("html is not null").select("page_id", "html").orderBy(F.xxhash64("page_id"), "page_id", F.xxhash64("html")).limit(FIT_PAGES).collect()
     return fit([r["html"] for r in rows])
 
 

@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plantlens.llm.common import thinned
 from plantlens.llm.lstm import Adam, BiLSTM
 
 #: The kinds in their order, and their patterns.
@@ -313,7 +314,7 @@ def fit(texts: list[str]) -> Model | None:
 
 def fit_on(docs: DataFrame) -> Model | None:
     """A network of up to FIT_ROWS documents that hold digits or an @ next to other characters."""
-    held = docs.filter(F.col("text").rlike(r"[0-9]{3}|@")).select("doc_id", "text")
+    held = thinned(docs, "doc_id", 200 * FIT_ROWS).filter(F.col("text").rlike(r"[0-9]{3}|@")).select("doc_id", "text")
     rows = held.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(FIT_ROWS).collect()
     return fit([r["text"] for r in rows])
 

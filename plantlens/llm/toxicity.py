@@ -16,10 +16,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plantlens.llm.common import crc_of
+from plantlens.llm.common import crc_of, thinned
 
 #: Labelled documents that the model is fitted on, in the order of a hash of doc_id.
 FIT_TOXIC, FIT_CLEAN = 1200, 2400
+#: Labels that those are picked from.
+POOL_ROWS = 2_000_000
 #: Length of the subsequences that the kernel counts, and the weight of each symbol they span.
 LENGTH, DECAY = 3, 0.7
 #: The normalised kernel is taken to this power, which is a kernel again and tells near spellings better apart.
@@ -275,7 +277,7 @@ def fit(texts: list[str], labels: list[int]) -> Model | None:
 
 def fit_on(docs: DataFrame, labels: DataFrame) -> Model | None:
     """A model of up to FIT_TOXIC and FIT_CLEAN documents whose crc32(doc_id) mod 5 is not 0."""
-    marked = labels.filter("toxic is not null and doc_id is not null").filter(crc_of("doc_id") % 5 != 0)
+    marked = thinned(labels, "doc_id", POOL_ROWS).filter("toxic is not null and doc_id is not null").filter(crc_of("doc_id") % 5 != 0)
     marked = marked.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     ranked = marked.withColumn("_at", F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")))
     chosen = ranked.filter(F.col("_at") <= F.when(F.col("toxic") == 1, FIT_TOXIC).otherwise(FIT_CLEAN)).filter(F.col("_at") <= max(FIT_TOXIC, FIT_CLEAN))

@@ -72,7 +72,10 @@ def test_byte_dedup(spark, rows):
     assert {r.doc_id: (r.n_bytes, r.n_removed, len(r.spans), r.kept_sha256) for r in out} == brute.byte_dedup(rows)
 
 
-def test_decontamination(spark, rows):
+@pytest.mark.parametrize("limit", [decontam.BROADCAST_WINDOWS, 0])
+def test_decontamination(spark, rows, limit, monkeypatch):
+    """The broadcast and the shuffled form."""
+    monkeypatch.setattr(decontam, "BROADCAST_WINDOWS", limit)
     items = [(1, rows[20][1]), (2, "one"), (3, None), (4, "!!"), (5, "zoë ZOË, Zoë"), (11, rows[30][1]), (11, rows[40][1]), (None, "a")]
     bench = spark.createDataFrame(items, "item_id long, text string")
     out = decontam.contamination(frame(spark, rows), bench).collect()
