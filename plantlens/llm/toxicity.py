@@ -7,6 +7,7 @@ Labels belong to documents, insults to words: a document is a bag of units
 from __future__ import annotations
 
 import re
+import uuid
 import zlib
 from collections import Counter
 from dataclasses import dataclass
@@ -16,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plantlens.llm.common import crc_of, thinned
+from plantlens.llm.common import crc_of, thinned, worker_memo
 
 #: Labelled documents that the model is fitted on, in the order of a hash of doc_id.
 FIT_TOXIC, FIT_CLEAN = 1200, 2400
@@ -29,8 +30,10 @@ POWER = 3
 #: Symbols of a unit; longer ones are scored in overlapping pieces.
 UNIT, OVERLAP = 16, 8
 LANDMARKS = 48
-CACHED_UNITS = 1_000_000
+#: Margins that a worker keeps, of pieces and of tokens; those met after that are worked out each time.
+CACHED_UNITS = 400_000
 MARGIN_FLOOR = -2.0
+MARKS = ".,!?:;%*#&$|\"'()"
 _EDGE = re.compile(r"^[\W\d_]+|[\W\d_]+$")
 
 
@@ -83,7 +86,9 @@ def self_kernel_rows(x: np.ndarray) -> np.ndarray:
 
 def units_of(token: str) -> list[str]:
     """A token without outer marks, cut into overlapping pieces if it is long."""
-    core = _EDGE.sub("", token)
+    core = token.strip(MARKS)
+    if not core.isalpha():
+        core = _EDGE.sub("", core)
     if len(core) <= UNIT:
         return [core] if len(core) >= LENGTH else []
     return [core[at : at + UNIT] for at in range(0, len(core) - OVERLAP, UNIT - OVERLAP)]
@@ -120,6 +125,7 @@ class Model:
     root: np.ndarray
     weights: np.ndarray
     bias: float
+    name: str = ""
     slope: float = 1.0
     offset: float = 0.0
 
@@ -146,24 +152,28 @@ class Model:
             out[use] = np.maximum(MARGIN_FLOOR, self.features([units[i] for i in use]) @ self.weights + self.bias)
         return out
 
-    def fill(self, tokens, known: dict[str, float]) -> None:
-        """Margins of the tokens that ``known`` lacks: that of their worst piece."""
-        new = [t for t in tokens if t not in known]
-        pieces = [units_of(t) for t in new]
-        margins = self.margins([u for p in pieces for u in p])
-        at = 0
-        for t, p in zip(new, pieces, strict=True):
-            known[t] = float(margins[at : at + len(p)].max()) if p else MARGIN_FLOOR
-            at += len(p)
-
-    def worst(self, text: str | None, known: dict[str, float]) -> float:
+    def fill(self, tokens: list[str], known: dict[str, float]) -> dict[str, float]:
+        """Margins of tokens, each that of its worst piece; ``known`` keeps those of pieces while it has room."""
+        pieces = [units_of(t) for t in tokens]
+        new = list(dict.fromkeys(u for p in pieces for u in p if u not in known))
+        fresh = dict(zip(new, self.margins(new).tolist(), strict=True))
+        for u, m in fresh.items():
+            if len(known) >= CACHED_UNITS:
+                break
+            known[u] = m
+        return {t: max((fresh[u] if u in fresh else known[u] for u in p), default=MARGIN_FLOOR) for t, p in zip(tokens, pieces, strict=True)}
+
+    def worst(self, text: str | None, known: dict[str, float], seen: dict[str, float] | None = None) -> float:
+        """The highest margin of the text's tokens; ``seen`` keeps those of tokens, ``known`` those of pieces."""
         tokens = set(tokens_of(text)) if text else set()
-        if not tokens:
-            return MARGIN_FLOOR
-        if len(known) + len(tokens) > CACHED_UNITS:
-            known.clear()
-        self.fill(tokens, known)
-        return max(map(known.__getitem__, tokens))
+        seen = {} if seen is None else seen
+        found = self.fill([t for t in tokens if t not in seen], known)
+        best = max(found.values(), default=MARGIN_FLOOR)
+        if len(found) < len(tokens):
+            best = max(best, max(seen[t] for t in tokens if t not in found))
+        if len(seen) < CACHED_UNITS:
+            seen.update(found)
+        return best
 
     def score(self, margin: float) -> float:
         return float(1 / (1 + np.exp(-np.clip(self.slope * margin + self.offset, -50, 50))))
@@ -271,7 +281,7 @@ def fit(texts: list[str], labels: list[int]) -> Model | None:
         a, b = a + step[0], b + step[1]
         if np.abs(step).max() < 1e-8:
             break
-    model.slope, model.offset = float(a), float(b)
+    model.slope, model.offset, model.name = float(a), float(b), uuid.uuid4().hex
     return model
 
 
@@ -295,9 +305,11 @@ def scored(docs: DataFrame, model: Model | None) -> DataFrame:
     """
 
     def run(batches):
-        known: dict[str, float] = {}
+        memo = worker_memo("toxicity")
+        if model and memo.get("name") != model.name:
+            memo.update(name=model.name, units={}, tokens={})
         for batch in batches:
-            found = [model.score(model.worst(t, known)) if model else 0.0 for t in batch.column("text").to_pylist()]
+            found = [model.score(model.worst(t, memo["units"], memo["tokens"])) if model else 0.0 for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(found, pa.float64()), pa.array([int(s >= 0.5) for s in found], pa.int32())],
                 names=["doc_id", "held_out", "score", "predicted"])
