@@ -93,14 +93,19 @@ def canonical_from_grid(grid: DataFrame, sites: DataFrame, channels: DataFrame)
     )
 
 
+def channel_list(channels: DataFrame) -> list[int]:
+    """The channels that a map names: configuration, so a short list."""
+    return sorted(r["metric_id"] for r in channels.select("metric_id").distinct().collect())
+
+
 def load_lake(
     spark: SparkSession, path: str, sites: DataFrame, channels: DataFrame,
     metrics: list[int] | None = None, site_id: str | None = None,
     years: tuple[int, int] | None = None,
 ) -> DataFrame:
-    """Lake -> canonical interval frame."""
+    """Lake -> canonical interval frame (S4). Only mapped channels are read, or ``metrics``."""
     plant = channels.where(F.col("canonical") != "inverter")
-    raw = scan_lake(spark, path, metrics, site_id, years)
+    raw = scan_lake(spark, path, channel_list(plant) if metrics is None else metrics, site_id, years)
     return canonical_from_grid(channel_grid(raw, sites, plant), sites, plant)
 
 
@@ -111,6 +116,7 @@ def load_lake_inverters(
 ) -> DataFrame:
     """Lake -> long inverter frame (S6); ``part_no`` gives the fleet order."""
     inv = channels.where(F.col("canonical") == "inverter")
+    metrics = channel_list(inv) if metrics is None else metrics
     grid = channel_grid(scan_lake(spark, path, metrics, site_id, years), sites, inv)
     df = attach_on(
         grid, inv.select("site_id", "metric_id", "part_no", "offset", "scale", "breaks"),

@@ -21,8 +21,9 @@ def write_training(frame: DataFrame, path: str, run_ts: str, fmt: str = "parquet
 def load_training(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Newest run of every site.
 
-    Which runs exist is read from the partition columns alone, and joining back
-    on them prunes the older partitions.
+    Which runs exist is read from the partition columns alone. The newest runs'
+    stamps, of which there are at most as many as runs, reach the scan as
+    partition filters; the join then picks each site's own.
     """
     from pyspark.sql import types as T
 
@@ -32,7 +33,9 @@ def load_training(spark: SparkSession, path: str, fmt: str = "parquet") -> DataF
         rows.select("site", "run_ts").distinct()
         .groupBy("site").agg(F.max("run_ts").alias("run_ts"))
     )
-    return conform(rows.join(newest, ["site", "run_ts"], "left_semi"), TRAINING)
+    stamps = [r["run_ts"] for r in newest.select("run_ts").distinct().collect()]
+    recent = rows.where(F.col("run_ts").isin(stamps))
+    return conform(recent.join(newest, ["site", "run_ts"], "left_semi"), TRAINING)
 
 
 def label_counts(final: DataFrame) -> DataFrame:
