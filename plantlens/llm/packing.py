@@ -14,7 +14,7 @@ from plantlens.llm.common import cut, keyed, sized, worker_memo
 CAPACITY = 2048
 END = 1
 #: Encodings of words kept by a worker, and their greatest length; those met after that are encoded each time.
-CACHED_WORDS, CACHED_LENGTH = 400_000, 48
+CACHED_WORDS, CACHED_LENGTH = 500_000, 48
 #: Words whose new ones are encoded together.
 GROUP_WORDS = 200_000
 #: Documents for each bucket that ranks are counted in.
@@ -46,7 +46,7 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.words, self.parts = worker_memo(f"words {path}"), worker_memo(f"parts {path}")
+        self.memo = worker_memo(f"words {path}")  # of words, and of the parts that others consist of
 
     def _each(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -76,9 +76,9 @@ class WordEncoder:
             if head and low.isalpha() and (low.isascii() or max(low) < "\u0250"):
                 key = low.encode()
                 split[w] = key, tail
-                if key not in self.parts:
+                if key not in self.memo:
                     runs[key] = low
-                if tail and tail not in self.parts:
+                if tail and tail not in self.memo:
                     others.append(tail)
             else:
                 others.append(w)
@@ -89,16 +89,16 @@ class WordEncoder:
         for w in words:
             if w in split:
                 key, tail = split[w]
-                ids = fresh[key] if key in fresh else self.parts[key]
-                new[w] = ids + (fresh[tail] if tail in fresh else self.parts[tail]) if tail else ids
+                ids = fresh[key] if key in fresh else self.memo[key]
+                new[w] = ids + (fresh[tail] if tail in fresh else self.memo[tail]) if tail else ids
             else:
                 new[w] = fresh[w]
-        for memo, found in ((self.parts, fresh), (self.words, new)):
+        for found in (fresh, new):
             for w, ids in found.items():
-                if len(memo) >= CACHED_WORDS:
+                if len(self.memo) >= CACHED_WORDS:
                     break
                 if len(w) <= CACHED_LENGTH:
-                    memo[w] = ids
+                    self.memo[w] = ids
         return new
 
     def documents(self, texts: list[bytes | None]):
@@ -110,9 +110,9 @@ class WordEncoder:
             held.append((data or b"").split())
             n += len(held[-1])
             if n >= GROUP_WORDS or i == len(texts) - 1:
-                missing = {w for words in held for w in words if w not in self.words}
+                missing = {w for words in held for w in words if w not in self.memo}
                 new = self.known(missing) if missing else {}
-                lookup = self.words.get
+                lookup = self.memo.get
                 for words in held:
                     yield b"".join([lookup(w) or new.get(w) or b"" for w in words]) + end
                 held, n = [], 0
