@@ -128,7 +128,9 @@ class Models:
 def fit(texts: dict[str, list[str]]) -> Models:
     """Interpolated Kneser-Ney models; every fifth document calibrates the rejection instead."""
     langs = sorted(texts)
-    models = Models(langs)
+    models = Models(langs, limits=np.full(len(langs), np.inf))
+    if not langs:
+        return models
     counts: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
     for lang in langs:
         own = [t for i, t in enumerate(texts[lang]) if i % 5 != 4 or len(texts[lang]) < 5]
@@ -162,7 +164,6 @@ def fit(texts: dict[str, list[str]]) -> Models:
                 p = np.exp(low + back[np.searchsorted(models.contexts[n], context(models.keys[n]))])
                 p[mine] += (c - DISCOUNT) / total[at]
             models.log_p[n][:, j] = np.log(p)
-    models.limits = np.full(len(langs), np.inf)
     for j, lang in enumerate(langs):
         found = [models.entropies(t) for t in texts[lang][4::5]]
         found = [h[j] for h, letters in found if letters >= MIN_LETTERS]

@@ -266,6 +266,8 @@ def examples(texts: list[str], seed: int = 3) -> list[tuple[str, np.ndarray]]:
     """Labelled windows: pattern matches, their other spellings in place, and stretches without any."""
     rng = np.random.default_rng(seed)
     out = []
+    found = sum(len(base_spans(t)) for t in texts)
+    rounds = max(2, min(10, 400 // max(1, found)))  # few spans are spelled more often
     for text in texts:
         spans = sorted(base_spans(text), key=lambda s: (s[1], -s[2]))
         tags = np.zeros(len(text), np.int64)
@@ -279,7 +281,7 @@ def examples(texts: list[str], seed: int = 3) -> list[tuple[str, np.ndarray]]:
         for kind, s, e in spans[:4]:
             lead, tail = int(rng.integers(5, 45)), text[e : e + 50]
             before = text[max(0, s - lead) : s]
-            for other in [text[s:e], *variants(kind, text[s:e], rng), *variants(kind, text[s:e], rng)]:
+            for other in [text[s:e], *(v for _ in range(rounds) for v in variants(kind, text[s:e], rng))]:
                 tag = np.concatenate((tags[max(0, s - lead) : s], np.full(len(other), kind + 1), tags[e : e + 50]))
                 out.append(((before + other + tail)[:WINDOW], tag[:WINDOW]))
     return out
