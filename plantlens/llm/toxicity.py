@@ -32,6 +32,8 @@ UNIT, OVERLAP = 16, 8
 LANDMARKS = 48
 #: Margins that a worker keeps, of pieces and of tokens; those met after that are worked out each time.
 CACHED_UNITS = 400_000
+#: Tokens whose new ones are worked out together.
+GROUP_TOKENS = 100_000
 MARGIN_FLOOR = -2.0
 MARKS = ".,!?:;%*#&$|\"'()"
 _EDGE = re.compile(r"^[\W\d_]+|[\W\d_]+$")
@@ -163,17 +165,29 @@ class Model:
             known[u] = m
         return {t: max((fresh[u] if u in fresh else known[u] for u in p), default=MARGIN_FLOOR) for t, p in zip(tokens, pieces, strict=True)}
 
-    def worst(self, text: str | None, known: dict[str, float], seen: dict[str, float] | None = None) -> float:
-        """The highest margin of the text's tokens; ``seen`` keeps those of tokens, ``known`` those of pieces."""
-        tokens = set(tokens_of(text)) if text else set()
-        seen = {} if seen is None else seen
-        found = self.fill([t for t in tokens if t not in seen], known)
-        best = max(found.values(), default=MARGIN_FLOOR)
-        if len(found) < len(tokens):
-            best = max(best, max(seen[t] for t in tokens if t not in found))
-        if len(seen) < CACHED_UNITS:
-            seen.update(found)
-        return best
+    def worst(self, text: str | None, known: dict[str, float]) -> float:
+        return self.worst_each([text], known, {})[0]
+
+    def worst_each(self, texts: list[str | None], known: dict[str, float], seen: dict[str, float]) -> list[float]:
+        """The highest margin of each text's tokens; ``seen`` keeps those of tokens, ``known`` those of pieces.
+
+        New tokens of several texts are worked out together.
+        """
+        out: list[float] = []
+        held: list[set[str]] = []
+        n = 0
+        for i, text in enumerate(texts):
+            held.append(set(tokens_of(text)) if text else set())
+            n += len(held[-1])
+            if n < GROUP_TOKENS and i < len(texts) - 1:
+                continue
+            found = self.fill(list({t for tokens in held for t in tokens if t not in seen}), known)
+            for tokens in held:
+                out.append(max((found[t] if t in found else seen[t] for t in tokens), default=MARGIN_FLOOR))
+            if len(seen) < CACHED_UNITS:
+                seen.update(found)
+            held, n = [], 0
+        return out
 
     def score(self, margin: float) -> float:
         return float(1 / (1 + np.exp(-np.clip(self.slope * margin + self.offset, -50, 50))))
@@ -267,7 +281,7 @@ def fit(texts: list[str], labels: list[int]) -> Model | None:
     model.weights, model.bias = support_vectors(model.features(units).astype(np.float64), y, weight)
     # Platt's sigmoid on documents and altered insults
     known: dict[str, float] = {}
-    m, t = np.array([model.worst(s, known) for s in texts]), np.array(labels, float)
+    m, t = np.array(model.worst_each(texts, known, {})), np.array(labels, float)
     # toxic documents without an insult tell nothing of margins; altered spellings of the insults do
     told = (t == 0) | (m > 0)
     spelled = model.margins([v for u in bad for v in altered(u, rng)])
@@ -309,7 +323,8 @@ def scored(docs: DataFrame, model: Model | None) -> DataFrame:
         if model and memo.get("name") != model.name:
             memo.update(name=model.name, units={}, tokens={})
         for batch in batches:
-            found = [model.score(model.worst(t, memo["units"], memo["tokens"])) if model else 0.0 for t in batch.column("text").to_pylist()]
+            texts = batch.column("text").to_pylist()
+            found = [model.score(m) for m in model.worst_each(texts, memo["units"], memo["tokens"])] if model else [0.0] * len(texts)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(found, pa.float64()), pa.array([int(s >= 0.5) for s in found], pa.int32())],
                 names=["doc_id", "held_out", "score", "predicted"])
