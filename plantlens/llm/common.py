@@ -103,6 +103,28 @@ def components(links: DataFrame, name: str) -> DataFrame:
         label = label.select("node", "root")
 
 
+def lean(run):
+    """``run`` over a task's batches; what it held goes back to the system at its end.
+
+    Workers live on for later tasks, of other operators too, and would keep it.
+    """
+
+    def wrapped(batches):
+        import ctypes
+        import gc
+
+        import pyarrow as pa
+
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+    return wrapped
+
+
 def worker_memo(name: str) -> dict:
     """A dict that lives as long as the Python process of a worker, over all tasks it runs."""
     home = sys.modules.setdefault("_plantlens_memo", types.ModuleType("_plantlens_memo"))

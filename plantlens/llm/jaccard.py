@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plantlens.llm.common import components, cut, keyed, restored, sized
+from plantlens.llm.common import components, cut, keyed, lean, restored, sized
 from plantlens.llm.hashing import mix, shingles, word_hashes
 
 #: Links need intersection / union of at least NUM / DEN.
@@ -46,7 +46,7 @@ def meta_of(docs: DataFrame) -> DataFrame:
                 [batch.column("key"), pa.array(n, pa.int64()), pa.array(np.asarray(h1, np.uint64).view(np.int64)),
                  pa.array(np.asarray(h2, np.uint64).view(np.int64))], names=["key", "n", "h1", "h2"])
 
-    return docs.select("key", "text").mapInArrow(run, "key long, n long, h1 long, h2 long")
+    return docs.select("key", "text").mapInArrow(lean(run), "key long, n long, h1 long, h2 long")
 
 
 def prefixes_of(docs: DataFrame, hot: np.ndarray) -> DataFrame:
@@ -86,7 +86,7 @@ def prefixes_of(docs: DataFrame, hot: np.ndarray) -> DataFrame:
                      pa.array(np.concatenate(token).view(np.int64)), pa.array(np.concatenate(pos)), pa.array(np.concatenate(late))],
                     names=["key", "n", "share", "token", "pos", "late"])
 
-    return docs.select("key", "text").mapInArrow(run, "key long, n long, share int, token long, pos int, late boolean")
+    return docs.select("key", "text").mapInArrow(lean(run), "key long, n long, share int, token long, pos int, late boolean")
 
 
 def fragments_of(docs: DataFrame) -> DataFrame:
@@ -108,7 +108,7 @@ def fragments_of(docs: DataFrame) -> DataFrame:
                     [pa.array(key, pa.int64()), pa.array(n, pa.int64()), pa.array(part, pa.int32()), lists],
                     names=["key", "n", "part", "hashes"])
 
-    return docs.select("key", "text").mapInArrow(run, "key long, n long, part int, hashes array<long>")
+    return docs.select("key", "text").mapInArrow(lean(run), "key long, n long, part int, hashes array<long>")
 
 
 def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plantlens.llm.common import crc_of, thinned
+from plantlens.llm.common import crc_of, lean, thinned
 
 #: Labelled documents of each language that the models are fitted on, in the order of a hash of doc_id.
 FIT_ROWS = 500
@@ -214,7 +214,7 @@ def identify(docs: DataFrame, models: Models, *keep: str) -> DataFrame:
 
     names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
     rows = docs.select(*keep, *([] if "text" in keep else ["text"]))
-    return rows.mapInArrow(run, f"{names}, lang_pred string, score double, cross_entropy double, rejected boolean")
+    return rows.mapInArrow(lean(run), f"{names}, lang_pred string, score double, cross_entropy double, rejected boolean")
 
 
 def fit_on(docs: DataFrame) -> Models:

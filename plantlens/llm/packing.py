@@ -9,12 +9,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from plantlens.llm.common import cut, keyed, sized, worker_memo
+from plantlens.llm.common import cut, keyed, lean, sized, worker_memo
 
 CAPACITY = 2048
 END = 1
 #: Encodings of words kept by a worker, and their greatest length; those met after that are encoded each time.
-CACHED_WORDS, CACHED_LENGTH = 500_000, 48
+CACHED_WORDS, CACHED_LENGTH = 250_000, 48
 #: Words whose new ones are encoded together.
 GROUP_WORDS = 200_000
 #: Documents for each bucket that ranks are counted in.
@@ -135,7 +135,7 @@ def encoded(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> D
                 pieces.append([{"start": at, "length": min(capacity, n - at), "crc": zlib.crc32(ids[4 * at : 4 * (at + capacity)])} for at in range(0, n, capacity)])
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(total, pa.int64()), pa.array(pieces, kind)], names=["key", "doc_tokens", "pieces"])
 
-    return docs.select("key", "text").mapInArrow(run, "key long, doc_tokens long, pieces array<struct<start: long, length: long, crc: long>>")
+    return docs.select("key", "text").mapInArrow(lean(run), "key long, doc_tokens long, pieces array<struct<start: long, length: long, crc: long>>")
 
 
 def best_pattern(sizes: np.ndarray, values: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:

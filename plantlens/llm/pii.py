@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plantlens.llm.common import thinned
+from plantlens.llm.common import lean, thinned
 from plantlens.llm.lstm import Adam, BiLSTM
 
 #: The kinds in their order, and their patterns.
@@ -348,7 +348,7 @@ def detect(docs: DataFrame, model: Model | None, *keep: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [pa.array(out, kind)], names=[*keep, "spans"])
 
     names = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in fields)
-    return docs.select(*keep, *([] if "text" in keep else ["text"])).mapInArrow(run, names + SPANS)
+    return docs.select(*keep, *([] if "text" in keep else ["text"])).mapInArrow(lean(run), names + SPANS)
 
 
 def joined(spans, base_only: bool):
@@ -379,4 +379,4 @@ def masked(docs: DataFrame, model: Model | None, *keep: str) -> DataFrame:
                 [pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in keep], names=list(keep))
 
     names = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return at.mapInArrow(run, names)
+    return at.mapInArrow(lean(run), names)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plantlens.llm.common import crc_of, thinned, worker_memo
+from plantlens.llm.common import crc_of, lean, thinned, worker_memo
 
 #: Labelled documents that the model is fitted on, in the order of a hash of doc_id.
 FIT_TOXIC, FIT_CLEAN = 1200, 2400
@@ -31,7 +31,7 @@ POWER = 3
 UNIT, OVERLAP = 16, 8
 LANDMARKS = 48
 #: Margins that a worker keeps, of pieces and of tokens; those met after that are worked out each time.
-CACHED_UNITS = 400_000
+CACHED_UNITS = 200_000
 #: Tokens whose new ones are worked out together.
 GROUP_TOKENS = 100_000
 MARGIN_FLOOR = -2.0
@@ -330,7 +330,7 @@ def scored(docs: DataFrame, model: Model | None) -> DataFrame:
                 names=["doc_id", "held_out", "score", "predicted"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(crc_of("doc_id") % 5 == 0, F.lit(False)).alias("held_out"), "text")
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+    return rows.mapInArrow(lean(run), "doc_id long, held_out boolean, score double, predicted int")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
