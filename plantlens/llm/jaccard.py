@@ -20,9 +20,11 @@ NUM, DEN = 4, 5
 WIDTH = 5
 #: Fragments of the order of hashes that overlaps are counted in.
 FRAGMENTS = 8
-#: The most frequent shingles, by documents that have them in the prefix, come last in the order.
+#: The most frequent shingles, by documents that have them, come last in the order.
 #: The list only orders, so its bound costs time where there are more of them, never a link.
-HOT_SHINGLES, HOT_DOCS = 65_536, 48
+HOT_SHINGLES, HOT_DOCS = 131_072, 16
+#: Shingles that a task counts at once.
+COUNTED = 2_000_000
 
 
 def sets_of(batch: pa.RecordBatch):
@@ -31,6 +33,33 @@ def sets_of(batch: pa.RecordBatch):
         yield i, shingles(word_hashes((data or b"").lower()), WIDTH)
 
 
+def frequent_of(docs: DataFrame) -> DataFrame:
+    """(token, count) of the shingles that stand in several documents of one stretch of COUNTED shingles.
+
+    Each task counts its own stretches, so a shingle of more documents than there
+    are stretches is always found, and unique ones never move.
+    """
+
+    def counted(held):
+        token, n = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(token[n > 1].view(np.int64)), pa.array(n[n > 1])], names=["token", "count"])
+
+    def run(batches):
+        held, n = [], 0
+        for batch in batches:
+            for _, s in sets_of(batch):
+                held.append(s)
+                n += len(s)
+                if n >= COUNTED:
+                    yield counted(held)
+                    held, n = [], 0
+        if held:
+            yield counted(held)
+
+    found = docs.select("text").mapInArrow(lean(run), "token long, count long")
+    return found.groupBy("token").agg(F.sum("count").alias("count"))
+
+
 def prefix_size(n: int) -> int:
     return n - (NUM * n + DEN - 1) // DEN + 1
 
@@ -50,10 +79,9 @@ def meta_of(docs: DataFrame) -> DataFrame:
 
 
 def prefixes_of(docs: DataFrame, hot: np.ndarray) -> DataFrame:
-    """(key, n, share, token, pos, late): the first fragment of each document, ``hot`` (rarest first) being last in the order.
+    """(key, n, share, token, pos): the first fragment of each document, ``hot`` (rarest first) being last in the order.
 
-    ``late`` marks shingles that are in it only because hot ones moved behind
-    them; ``share`` is the thousandths of the document's shingles that are hot.
+    ``share`` is the thousandths of the document's shingles that are hot.
     """
     order = np.argsort(hot)
     ranked = hot[order]
@@ -61,7 +89,7 @@ def prefixes_of(docs: DataFrame, hot: np.ndarray) -> DataFrame:
     def run(batches):
         for batch in batches:
             keys = batch.column("key").to_numpy()
-            key, size, share, token, pos, late = [], [], [], [], [], []
+            key, size, share, token, pos = [], [], [], [], []
             for i, s in sets_of(batch):
                 if not len(s):
                     continue
@@ -75,7 +103,6 @@ def prefixes_of(docs: DataFrame, hot: np.ndarray) -> DataFrame:
                 else:
                     part, heat = s[:p], 0
                 token.append(part)
-                late.append(part > s[p - 1])
                 share.append(np.full(p, heat, np.int32))
                 pos.append(np.arange(p, dtype=np.int32))
                 key.append(np.full(p, keys[i]))
@@ -83,10 +110,10 @@ def prefixes_of(docs: DataFrame, hot: np.ndarray) -> DataFrame:
             if token:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(key), pa.int64()), pa.array(np.concatenate(size)), pa.array(np.concatenate(share)),
-                     pa.array(np.concatenate(token).view(np.int64)), pa.array(np.concatenate(pos)), pa.array(np.concatenate(late))],
-                    names=["key", "n", "share", "token", "pos", "late"])
+                     pa.array(np.concatenate(token).view(np.int64)), pa.array(np.concatenate(pos))],
+                    names=["key", "n", "share", "token", "pos"])
 
-    return docs.select("key", "text").mapInArrow(lean(run), "key long, n long, share int, token long, pos int, late boolean")
+    return docs.select("key", "text").mapInArrow(lean(run), "key long, n long, share int, token long, pos int")
 
 
 def fragments_of(docs: DataFrame) -> DataFrame:
@@ -168,13 +195,12 @@ def linked(docs: DataFrame, keys: DataFrame) -> DataFrame:
     is compared: no link that could join two components is left out.
     """
     reps = docs.join(sized(keys), "key", "left_semi")
-    counts = cut(prefixes_of(reps, np.zeros(0, np.uint64)).groupBy("token").count().filter("count > 1"), "shared")
-    top = counts.filter(F.col("count") >= HOT_DOCS).orderBy(F.desc("count"), "token").limit(HOT_SHINGLES).collect()
+    top = frequent_of(reps).filter(F.col("count") >= HOT_DOCS).orderBy(F.desc("count"), "token").limit(HOT_SHINGLES).collect()
     hot = np.array([r["token"] for r in reversed(top)], np.int64).view(np.uint64)
-    # shingles of one document alone stay out, but for late ones, which have not been counted
-    shared = counts.select("token", F.lit(True).alias("again"))
-    posts = prefixes_of(reps, hot).join(sized(shared), "token", "left").filter("again or late")
-    posts = cut(posts.select("token", "key", "n", "pos", "share"), "posts")
+    # prefix shingles of one document alone lead to no other
+    first = prefixes_of(reps, hot)
+    shared = cut(first.groupBy("token").count().filter("count > 1").select("token"), "shared")
+    posts = cut(first.join(sized(shared), "token").select("token", "key", "n", "pos", "share"), "posts")
     heads = cut(posts.groupBy("key").agg(F.collect_list("token").alias("head")), "heads")
     # leaders: of the most hot shingles, as the text that the others were made from has, and by a hash alike in all blocks
     ends = F.struct("key", "n", "pos")
