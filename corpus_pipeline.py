@@ -22,21 +22,40 @@ def in_a_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return told.filter("not rejected").select(*docs.columns)
 
 
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` and its column that tells all rows apart: doc_id, or where that repeats or is null a written number."""
+    odd = docs.groupBy("doc_id").count().filter("count > 1 or doc_id is null").limit(1).count()
+    if not odd:
+        return docs, "doc_id"
+    return cut(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered"), "_row"
+
+
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest doc_id of each near-duplicate group, once."""
+    """The document of the smallest doc_id of each near-duplicate group, once; null ids come last.
+
+    Unlinked texts stay, whatever their ids. Texts of no words link to none, but
+    equal rows are one.
+    """
     bounded(spark)
-    found = cut(jaccard.near_duplicates(docs.select("doc_id", "text")), "near")
-    kept = cut(found.filter("doc_id <=> component_id").select(F.col("doc_id").alias("kept_id"), "class_id").distinct(), "kept")
-    out = docs.join(sized(kept.select("kept_id")), F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
-    twice = found.groupBy("doc_id").count().filter("count > 1").limit(1).count()
-    return out.dropDuplicates(["doc_id"]) if twice else out
+    rows, key = numbered(docs)
+    found = cut(jaccard.near_duplicates(rows.select(F.col(key).alias("doc_id"), "text")), "near")
+    if key == "doc_id":
+        kept = found.filter("doc_id = component_id").select("doc_id")
+    else:
+        ids = rows.select(key, F.col("doc_id").alias("id"), F.coalesce(F.sha2("text", 256), F.lit("")).alias("sha"))
+        alone = F.col("n_shingles") == 0
+        group = [F.when(~alone, F.col("component_id")), F.when(alone, F.col("id")), F.when(alone, F.col("sha"))]
+        first = F.min(F.struct(F.col("id").isNull(), "id", "sha", key))
+        kept = found.join(ids, F.col("doc_id") == F.col(key)).groupBy(alone, *group).agg(first[key].alias(key)).select(key)
+    return rows.join(sized(cut(kept, "kept")), key, "left_semi").select(*docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no window of a benchmark item."""
-    found = decontam.contamination(docs.select("doc_id", "text"), read(spark, sf_dir, "benchmark"))
-    hit = cut(found.filter("contaminated").select(F.col("doc_id").alias("hit_id")).distinct(), "hit")
-    return docs.join(sized(hit), F.col("doc_id").eqNullSafe(F.col("hit_id")), "left_anti")
+    """Documents that hold no window of a benchmark item, each row on its own."""
+    rows, key = numbered(docs)
+    found = decontam.contamination(rows.select(F.col(key).alias("doc_id"), "text"), read(spark, sf_dir, "benchmark"))
+    hit = cut(found.filter("contaminated").select(F.col("doc_id").alias(key)), "hit")
+    return rows.join(sized(hit), key, "left_anti").select(*docs.columns)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

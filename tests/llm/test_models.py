@@ -196,6 +196,28 @@ def test_pipeline(spark):
     assert all(private[i].text == t for i, t in third.items() if not re.search("[0-9@]", t))
 
 
+def test_pipeline_keeps_shared_and_null_ids(spark):
+    """Unlinked texts of one doc_id, or of none, stay; a contaminated one goes alone."""
+    text = lambda name, n=40: " ".join(f"{name}{i}" for i in range(n))
+    near = text("a").replace("a39", "b39")
+    item = read(spark, SMALL, "benchmark").filter("length(text) > 200").orderBy("item_id").first().text
+    rows = [(7, text("a")), (7, text("c")), (None, text("d")), (None, text("e")), (None, near), (8, near), (None, text("f")), (None, text("f")),
+            (9, text("g")), (9, text("g")), (5, ""), (5, ""), (5, text("h")), (6, text("i")), (6, text("i").replace("i39", "j39"))]
+    docs = frame(spark, [(i, t, "en") for i, t in rows])
+    steps = dict(corpus_pipeline.STAGES)
+    out = steps["near_duplicates"](spark, docs, SMALL)
+    assert out.columns == docs.columns
+    got = sorted((str(r.doc_id), r.text) for r in out.collect())
+    want = [(7, text("a")), (7, text("c")), (None, text("d")), (None, text("e")), (None, text("f")), (9, text("g")), (5, ""), (5, text("h"))]
+    assert [g for g in got if g[0] != "6"] == sorted((str(i), t) for i, t in want)
+    assert len(got) == len(want) + 1
+    rows = [(7, item), (7, "clean"), (None, item), (None, "clean too"), (None, None), (8, "other"), (9, item)]
+    docs = frame(spark, [(i, t, "en") for i, t in rows])
+    clean = steps["decontamination"](spark, docs, SMALL)
+    assert clean.columns == docs.columns
+    assert sorted(map(str, (tuple(r) for r in clean.select("doc_id", "text").collect()))) == sorted(str((i, t)) for i, t in rows if t != item)
+
+
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_queries_run(spark, name):
     out = queries.QUERIES[name](spark, SMALL)
