@@ -25,10 +25,19 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 FIT_ROWS = 400
 #: Characters of a window, and of its step to the next one.
 WINDOW, STEP = 96, 48
-#: A span holds a digit, an @, or a written-out dot; windows without them are all outside by constraint.
+#: A span holds a digit, an @, or a written-out at with a dot behind it (see ``plausible``); the rest is outside by constraint.
 TRIGGER = re.compile(r"[0-9@]")
 DOTS = ["dot", "punkt", "punto", "point"]
 DOT_WORD = re.compile(r"[\s(\[{](?:dot|punkt|punto|point)[\s)\]}]", re.I)
+#: Written-out forms of an address's @ and dot.
+_AT = re.compile(r"@|\s?[\[({]\s?at\s?[\])}]\s?|\sat\s", re.I)
+_DOT = re.compile(r"\.|\s?[\[({]\s?dot\s?[\])}]\s?|\sdot\s", re.I)
+#: The longest address. All of it is read, however far from its at.
+LONGEST = 120
+#: Written-out forms of an address's @ and dots that the network is taught.
+SPELLINGS = [(" at ", " dot "), (" (at) ", " (dot) "), ("[at]", "[dot]"), (" [at] ", "."), (" @ ", ".")]
+#: Stretches that are read together, and about the most characters of them.
+GROUP, GROUP_CHARACTERS = 200, 60_000
 HIDDEN, EPOCHS, BATCH = 24, 14, 32
 #: Added spans need this mean probability, and each kind its own least form.
 CONFIDENCE = 0.9
@@ -90,16 +99,20 @@ def codes(text: str) -> np.ndarray:
 
 
 def regions(text: str) -> list[tuple[int, int]]:
-    """Stretches around candidate characters, joined where they touch."""
-    out: list[list[int]] = []
-    found = list(TRIGGER.finditer(text))
+    """Stretches around candidate characters and written-out addresses, joined where they touch."""
+    found = [(m.start() - STEP, m.end() + STEP) for m in TRIGGER.finditer(text)]
     low = text.lower()
     if any(w in low for w in DOTS):
-        found = sorted([*found, *DOT_WORD.finditer(text)], key=lambda m: m.start())
-    for m in found:
-        a, b = max(0, m.start() - STEP), min(len(text), m.end() + STEP)
+        found += [(m.start() - STEP, m.end() + STEP) for m in DOT_WORD.finditer(text)]
+    for m in _AT.finditer(text):
+        # an address around this at ends within its greatest length, and has a dot there
+        if _DOT.search(text, m.end(), m.start() + LONGEST):
+            found.append((m.start() - LONGEST, m.start() + LONGEST + STEP))
+    out: list[list[int]] = []
+    for a, b in sorted(found):
+        a, b = max(0, a), min(len(text), b)
         if out and a <= out[-1][1]:
-            out[-1][1] = b
+            out[-1][1] = max(out[-1][1], b)
         else:
             out.append([a, b])
     return [(a, b) for a, b in out]
@@ -167,47 +180,68 @@ class Model:
                 weight[i][a : a + n] += bell[:n]
         return [t / np.maximum(w, 1e-9) for t, w in zip(total, weight, strict=True)]
 
-    def decode(self, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The best path over a whole stretch, and each place's probability of its tag."""
-        steps, k = e.shape
-        best, back = e[0].copy(), np.zeros((steps, k), np.int64)
-        alpha = np.zeros((steps, k))
-        alpha[0] = e[0]
+    def decode_each(self, emissions: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The best path over each whole stretch, and each place's probability of its tag."""
+        size = np.array([len(e) for e in emissions])
+        n, k, steps = len(emissions), self.moves.shape[0], int(size.max())
+        e = np.zeros((steps, n, k))
+        for j, one in enumerate(emissions):
+            e[: len(one), j] = one
+        alpha, back = np.zeros((steps, n, k)), np.zeros((steps, n, k), np.int64)
+        best = alpha[0] = e[0]
+        at, rows = np.arange(k)[None, :], np.arange(n)
         for t in range(1, steps):
-            score = best[:, None] + self.moves
-            back[t] = score.argmax(axis=0)
-            best = score[back[t], np.arange(k)] + e[t]
-            alpha[t] = log_sum(alpha[t - 1][:, None] + self.moves, 0) + e[t]
-        path = np.zeros(steps, np.int64)
-        path[-1] = best.argmax()
-        beta, sure = np.zeros(k), np.zeros(steps)
-        z = log_sum(alpha[-1], 0)
+            on = (t < size)[:, None]
+            score = best[:, :, None] + self.moves
+            back[t] = np.where(on, score.argmax(axis=1), at)  # behind its end a stretch keeps its tag
+            best = np.where(on, score.max(axis=1) + e[t], best)
+            alpha[t] = np.where(on, log_sum(alpha[t - 1][:, :, None] + self.moves, 1) + e[t], alpha[t - 1])
+        path, sure = np.zeros((steps, n), np.int64), np.zeros((steps, n))
+        path[-1] = best.argmax(axis=1)
+        beta, z = np.zeros((n, k)), log_sum(alpha[-1], 1)
         for t in range(steps - 1, -1, -1):
-            sure[t] = np.exp(alpha[t, path[t]] + beta[path[t]] - z)
+            sure[t] = np.exp(alpha[t, rows, path[t]] + beta[rows, path[t]] - z)
             if t:
-                path[t - 1] = back[t, path[t]]
-                beta = log_sum(self.moves + (e[t] + beta)[None, :], 1)
-        return path, sure
+                path[t - 1] = back[t, rows, path[t]]
+                new = log_sum(self.moves[None] + (e[t] + beta)[:, None, :], 2)
+                beta = np.where((t < size)[:, None], new, beta)
+        return [(path[:m, j], sure[:m, j]) for j, m in enumerate(size)]
 
     def added(self, text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-        """Spans of the network that touch no span of the patterns and have the form of their kind."""
-        out = []
-        stretches = regions(text)
-        for at in range(0, len(stretches), 200):
-            part = stretches[at : at + 200]
-            for (a, b), e in zip(part, self.emissions([text[a:b] for a, b in part]), strict=True):
-                path, sure = self.decode(e)
+        return self.added_each([text], [base])[0]
+
+    def added_each(self, texts: list[str], bases: list[list[tuple[int, int, int]]]) -> list[list[tuple[int, int, int]]]:
+        """Spans of each text by the network that touch no span of the patterns and have the form of their kind.
+
+        Stretches of similar length of all texts are read together.
+        """
+        out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
+        stretches = sorted(((i, a, b) for i, text in enumerate(texts) for a, b in regions(text)), key=lambda s: s[2] - s[1])
+        at = 0
+        while at < len(stretches):
+            part = stretches[at : at + 1]
+            for s in stretches[at + 1 : at + GROUP]:
+                if (s[2] - s[1]) * (len(part) + 1) > GROUP_CHARACTERS:
+                    break
+                part.append(s)
+            at += len(part)
+            found = self.decode_each(self.emissions([texts[i][a:b] for i, a, b in part]))
+            for (i, a, _), (path, sure) in zip(part, found, strict=True):
                 edge = np.flatnonzero(np.diff(np.concatenate(([0], path, [0]))))
                 for s, t in zip(edge[:-1], edge[1:], strict=True):
                     if path[s]:
-                        found = trimmed(text, a + int(s), a + int(t))
-                        if found and sure[s:t].mean() >= CONFIDENCE and plausible(int(path[s]) - 1, text[found[0] : found[1]]):
-                            out.append((int(path[s]) - 1, *found))
+                        span = trimmed(texts[i], a + int(s), a + int(t))
+                        if span and sure[s:t].mean() >= CONFIDENCE and plausible(int(path[s]) - 1, texts[i][span[0] : span[1]]):
+                            out[i].append((int(path[s]) - 1, *span))
+        return [self._free(sorted(found), base) for found, base in zip(out, bases, strict=True)]
+
+    @staticmethod
+    def _free(found: list[tuple[int, int, int]], base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
         taken = sorted((s, e) for _, s, e in base)
         starts = np.array([s for s, _ in taken])
         reach = np.maximum.accumulate(np.array([e for _, e in taken])) if taken else np.zeros(0, int)
         free = []
-        for kind, s, e in out:
+        for kind, s, e in found:
             i = int(np.searchsorted(starts, e)) - 1  # the last that starts before this one ends
             if i < 0 or reach[i] <= s:
                 free.append((kind, s, e))
@@ -229,15 +263,11 @@ def trimmed(text: str, start: int, end: int) -> tuple[int, int] | None:
     return start, end
 
 
-_AT = re.compile(r"@|\s?[\[({]\s?at\s?[\])}]\s?|\sat\s", re.I)
-_DOT = re.compile(r"\.|\s?[\[({]\s?dot\s?[\])}]\s?|\sdot\s", re.I)
-
-
 def plausible(kind: int, span: str) -> bool:
     digits = re.sub(r"[^0-9]", "", span)
     if kind == 0:
         at = _AT.search(span)
-        return bool(at and at.start() and _DOT.search(span, at.end())) and len(span) <= 120
+        return bool(at and at.start() and _DOT.search(span, at.end())) and len(span) <= LONGEST
     if kind == 1:
         parts = re.findall(r"[0-9]+", span)
         return len(parts) == 4 and all(int(p) <= 255 for p in parts) and len(digits) < len(span) <= 40
@@ -246,20 +276,26 @@ def plausible(kind: int, span: str) -> bool:
     return 9 <= len(digits) <= 15 and not re.search(r"[A-Za-z]", span) and len(digits) < len(span) <= 30
 
 
-def variants(kind: int, span: str, rng: np.random.Generator) -> list[str]:
-    """Other spellings of a span, as labelled examples."""
+def renamed(rng: np.random.Generator) -> str:
+    """An address of made-up names, mostly without a digit."""
+    name = lambda least, most: "".join("aeiourstnlbcdfghjkmpqvwxyz"[int(rng.integers(10 if rng.random() < 0.6 else 26))] for _ in range(int(rng.integers(least, most))))
+    local = name(2, 9) + ["", f"{'._-'[rng.integers(3)]}{name(1, 9)}", str(rng.integers(100))][rng.choice(3, p=[0.35, 0.5, 0.15])]
+    domain = name(2, 9) + ["", f"-{name(2, 6)}", f".{name(2, 6)}"][rng.choice(3, p=[0.6, 0.2, 0.2])]
+    return f"{local}@{domain}.{['com', 'org', 'net', 'de', 'fr', 'es', 'it', 'io', 'edu', 'info', 'co.uk'][rng.integers(11)]}"
+
+
+def variants(kind: int, span: str) -> list[str]:
+    """All other spellings of a span, as labelled examples."""
     if kind == 0:
-        at, dot = [(" at ", " dot "), (" (at) ", " (dot) "), ("[at]", "[dot]"), (" [at] ", "."), (" @ ", ".")][rng.integers(5)]
-        return [span.replace("@", at).replace(".", dot) if "dot" in dot else span.replace("@", at)]
+        return [span.replace(".", dot).replace("@", at) for at, dot in SPELLINGS]
     if kind == 1:
-        return [span.replace(".", [" . ", "[.]", "(.)"][rng.integers(3)])]
+        return [span.replace(".", dot) for dot in (" . ", "[.]", "(.)")]
     digits = re.sub(r"[^0-9]", "", span)
     if kind == 2:
-        sep = [".", "  ", "_", " - "][rng.integers(4)]
-        return [sep.join(digits[i : i + 4] for i in range(0, len(digits), 4))]
+        return [sep.join(digits[i : i + 4] for i in range(0, len(digits), 4)) for sep in (".", "  ", "_", " - ")]
     body = digits[-10:]
     forms = ["({}) {}-{}", "{}-{}-{}", "{}.{}.{}", "({}){}-{}", "00" + digits[:1] + " {} {} {}"]
-    return [forms[rng.integers(len(forms))].format(body[:3], body[3:6], body[6:])]
+    return [form.format(body[:3], body[3:6], body[6:]) for form in forms]
 
 
 def examples(texts: list[str], seed: int = 3) -> list[tuple[str, np.ndarray]]:
@@ -279,11 +315,23 @@ def examples(texts: list[str], seed: int = 3) -> list[tuple[str, np.ndarray]]:
             for at in range(a, max(a + 1, b - STEP), STEP):
                 out.append((text[at : at + WINDOW], tags[at : at + WINDOW]))
         for kind, s, e in spans[:4]:
-            lead, tail = int(rng.integers(5, 45)), text[e : e + 50]
-            before = text[max(0, s - lead) : s]
-            for other in [text[s:e], *(v for _ in range(rounds) for v in variants(kind, text[s:e], rng))]:
-                tag = np.concatenate((tags[max(0, s - lead) : s], np.full(len(other), kind + 1), tags[e : e + 50]))
-                out.append(((before + other + tail)[:WINDOW], tag[:WINDOW]))
+            last = text[s:e], kind
+            names = [renamed(rng) if kind == 0 and n % 2 else text[s:e] for n in range(rounds)]
+            for other in [text[s:e], *(v for name in names for v in variants(kind, name))]:
+                left, right = s, e
+                if rng.random() < 0.5:  # at another place, between two words
+                    right = text.find(" ", int(rng.integers(len(text))))
+                    left = right + 1 if right >= 0 else s
+                    right = right if right >= 0 else e
+                lead, tail = max(0, left - int(rng.integers(0, 45))), right + int(rng.integers(0, 51))
+                tag = np.concatenate((tags[lead:left], np.full(len(other), kind + 1), tags[right:tail]))
+                before = text[lead:left]
+                if rng.random() < 0.3:  # behind another span, as in lists
+                    gap = [" or ", ", ", " and ", "; ", " / ", " "][rng.integers(6)]
+                    before = before[-12:] + last[0] + gap
+                    tag = np.concatenate((tags[left - len(text[lead:left][-12:]) : left], np.full(len(last[0]), last[1] + 1), np.zeros(len(gap), np.int64), tag[left - lead :]))
+                last = other, kind
+                out.append(((before + other + text[right:tail])[:WINDOW], tag[:WINDOW]))
     return out
 
 
@@ -329,8 +377,8 @@ def detect(docs: DataFrame, model: Model | None, *keep: str) -> DataFrame:
 
     Offsets are code points, ends exclusive. Pattern spans always stay; the
     network adds spans that touch none of them. Null and empty texts have none;
-    very long texts are read whole, in overlapping windows around their
-    candidates. Without a model, as where no document has a pattern, nothing is
+    very long texts are read whole: every stretch that can hold a span by
+    ``plausible`` goes through the network in overlapping windows. Without a model, as where no document has a pattern, nothing is
     added. Repeated rows each get their spans.
     """
     fields = [docs.schema[c] for c in keep]
@@ -338,10 +386,10 @@ def detect(docs: DataFrame, model: Model | None, *keep: str) -> DataFrame:
     def run(batches):
         for batch in batches:
             out = []
-            for text in batch.column("text").to_pylist():
-                text = text or ""
-                base = base_spans(text)
-                more = model.added(text, base) if model else []
+            texts = [text or "" for text in batch.column("text").to_pylist()]
+            bases = [base_spans(text) for text in texts]
+            added = model.added_each(texts, bases) if model else [[] for _ in texts]
+            for base, more in zip(bases, added, strict=True):
                 spans = sorted([(*s, False) for s in base] + [(*s, True) for s in dict.fromkeys(more)])
                 out.append([{"kind": KINDS[k], "start": a, "end": b, "added": x} for k, a, b, x in spans])
             kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("added", pa.bool_())]))

@@ -125,6 +125,24 @@ def test_pii_spans(spark):
     assert pii.detect(frame(spark, []), None, "doc_id").count() == 0
 
 
+def test_pii_spellings(spark):
+    """Each taught spelling is found in prose without digits around, and all that has a span's form is in a region."""
+    model = pii.fit_on(read(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text"))
+    forms = [(k, v) for k, s in enumerate(("jane.doe@site.com", "10.20.30.40", "4111111111111111", "+1 523 555 1055")) for v in pii.variants(k, s)]
+    assert len(forms) == 5 + 3 + 4 + 5
+    rows = [(i, f"This was written here and they said that you may write to {v} whenever there is need.", "en") for i, (_, v) in enumerate(forms)]
+    rows += [(100, "mail jane.doe [at] site.com", "en"), (101, "jane (at) site.com", "en")]
+    found = {r.doc_id: r.spans for r in pii.detect(frame(spark, rows), model, "doc_id").collect()}
+    missed = [forms[i][1] for i in range(5) if not any(s.kind == "email" for s in found[i])]
+    missed += [forms[i][1] for i in range(5, len(forms)) if not found[i]]
+    assert missed == [] and found[100] and found[101]
+    for at in ("@", " at ", "(at)", "[ AT ]", "{at}"):
+        for dot in (".", " dot ", "(dot)", "[ DOT ]"):
+            span = f"{'j' * 50}{at}{'s' * 40}{dot}com"
+            text = "word " * 60 + span + " word" * 60
+            assert pii.plausible(0, span) and any(a <= 300 and 300 + len(span) <= b for a, b in pii.regions(text))
+
+
 def test_packing(spark):
     from tokenizers import Tokenizer
 
