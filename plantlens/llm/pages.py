@@ -100,6 +100,8 @@ def blocks_of(page: str | None) -> list[Block]:
         if tag in ("br", "wbr", "img"):
             say(" " if tag == "br" else "")
             continue
+        if tag == "svg" and (m[3] or "").rstrip().endswith("/"):
+            continue
         if tag in RAW_END:
             end = RAW_END[tag].search(page, at)
             at = end.end() if end else len(page)
@@ -118,7 +120,7 @@ def blocks_of(page: str | None) -> list[Block]:
             flush()
         if tag not in VOID and not (m[3] or "").rstrip().endswith("/"):
             names = [w for n in NAMES.findall(m[3] or "") for w in re.split(r"[^a-z0-9]+", "".join(n).lower()) if w]
-            stack.append((tag, names[:12]))
+            stack.append((tag, names))
             silent += tag in SILENT
     flush()
     return out
@@ -136,13 +138,12 @@ def vectors(page: list[Block], start: int = 0, n: int | None = None) -> np.ndarr
     blocks = page[start : len(page) if n is None else start + n]
     out = np.zeros((len(blocks), PATH_PLACES + WORD_PLACES + NUMBERS), np.float32)
     for i, b in enumerate(blocks):
-        for depth, w in enumerate(b.path[-16:]):
+        for w in b.path:
             out[i, _place(w, PATH_PLACES)] = 1
         words = b.text.lower().split()
-        spread = words[:: max(1, len(words) // 48)]
-        for w in spread:
+        for w in words:
             out[i, PATH_PLACES + _place(w, WORD_PLACES)] += 1
-        out[i, PATH_PLACES : PATH_PLACES + WORD_PLACES] /= max(1, len(spread))
+        out[i, PATH_PLACES : PATH_PLACES + WORD_PLACES] /= max(1, len(words))
         ends = sum(map(b.text.count, ".!?"))
         out[i, -NUMBERS:] = (
             np.log1p(len(words)) / 5, b.linked, min(1.0, ends / max(1, len(words)) * 8), b.element == "p", b.element == "li",

@@ -193,6 +193,20 @@ def test_pages(spark):
     assert pages.extract(rows.limit(0), model).count() == 0
 
 
+def test_pages_read_whole():
+    """Outer containers, all words of long blocks, and text behind an empty svg."""
+    deep = lambda name: f"<div class='{name}'>" + "<div class='a b c d'>" * 9 + "<p>some words here</p>" + "</div>" * 10
+    one, two = (pages.vectors(pages.blocks_of(deep(name))) for name in ("comments", "content"))
+    assert (one != two).any()
+    many = " ".join(f"c{i}" for i in range(20))
+    assert "comments" in pages.blocks_of(f"<div class='{many} comments'><p>x</p></div>")[0].path
+    words = ["even", "odd"] * 60
+    words[1] = "special"
+    one, two = (pages.vectors(pages.blocks_of(f"<p>{' '.join(w)}</p>")) for w in (words, ["even", "odd"] * 60))
+    assert (one != two).any()
+    assert [b.text for b in pages.blocks_of("<p>a<svg class='i' /> b</p><p>c</p><svg><text>no</text></svg><p>d</p>")] == ["a b", "c", "d"]
+
+
 def test_pipeline(spark):
     """Each stage against a plain version over the rows it was given."""
     docs = read(spark, SMALL, "documents")
