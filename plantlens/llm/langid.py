@@ -9,12 +9,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plantlens.llm.common import crc_of, lean, thinned
+from plantlens.llm.common import crc_of, lean
 
 #: Labelled documents of each language that the models are fitted on, in the order of a hash of doc_id.
 FIT_ROWS = 500
-#: Rows that those are picked from.
-POOL_ROWS = 2_000_000
 ORDER = 4
 DISCOUNT = 0.75
 #: Characters scored at once.
@@ -173,8 +171,12 @@ def fit(texts: dict[str, list[str]]) -> Models:
 
 
 def labelled_sample(docs: DataFrame, rows: int = FIT_ROWS) -> dict[str, list[str]]:
-    """Up to ``rows`` texts of each language, the ids picked before any text is read."""
-    ranked = thinned(docs, "doc_id", POOL_ROWS).filter("lang is not null and text is not null").withColumn(
+    """Up to ``rows`` texts of each language, the ids picked before any text is read.
+
+    All rows take part, so rare languages are learned on tables of any size;
+    each task passes on at most ``rows`` ids of a language.
+    """
+    ranked = docs.filter("lang is not null and text is not null").withColumn(
         "_at", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")))
     chosen = ranked.filter(F.col("_at") <= rows).select("doc_id").distinct()
     texts = docs.filter("lang is not null and text is not null").select("doc_id", "lang", "text").join(F.broadcast(chosen), "doc_id")

@@ -36,6 +36,14 @@ def test_language(spark):
     assert langid.language_of(frame(spark, [])).count() == 0
 
 
+def test_rare_language_is_learned(spark, monkeypatch):
+    """A language of a few documents is sampled whole from a table beyond any pool."""
+    monkeypatch.setattr(langid, "POOL_ROWS", 40, raising=False)
+    rows = [(i, f"plain words {i} here", "en") for i in range(2000)] + [(5000 + i, f"quelques mots {i}", "fr") for i in range(8)]
+    found = langid.labelled_sample(frame(spark, rows))
+    assert len(found["en"]) == langid.FIT_ROWS and len(found["fr"]) == 8
+
+
 def test_kneser_ney_sums_to_one():
     models = langid.fit({"a": ["the cat sat on the mat and the hat"] * 3, "b": ["le chat est sur la table et le chapeau"] * 3})
     letters = models.keys[1].astype(np.uint16)
