@@ -5,7 +5,7 @@ from __future__ import annotations
 import sys
 import types
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plantlens.session import work_dir
@@ -129,3 +129,22 @@ def worker_memo(name: str) -> dict:
     """A dict that lives as long as the Python process of a worker, over all tasks it runs."""
     home = sys.modules.setdefault("_plantlens_memo", types.ModuleType("_plantlens_memo"))
     return vars(home).setdefault(name, {})
+
+
+def numbered_by(df: DataFrame, group: list[str], order: list[str], name: str, at: str = "at") -> DataFrame:
+    """``df`` with ``at``: the place of each row from 0 in its ``group`` by ``order``, nulls first.
+
+    A range-partitioned, written sort; counts of (group, range) and their sums
+    over ranges give the offsets, so a group of any size is spread over tasks.
+    """
+    spread = [*group, *order]
+    rows = df.repartitionByRange(*spread).sortWithinPartitions(*spread)
+    rows = cut(rows.withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}), name)
+    counts = rows.groupBy(*group, "_part").agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
+    before = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = cut(counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))), f"{name}-counts")
+    same = F.col("r._part") == F.col("c._part")
+    for g in group:
+        same &= F.col(f"r.{g}").eqNullSafe(F.col(f"c.{g}"))
+    place = F.col("_at") - F.col("_first") + F.col("_before")
+    return rows.alias("r").join(sized(counts).alias("c"), same).select(*(F.col(f"r.{c}") for c in df.columns), place.alias(at))

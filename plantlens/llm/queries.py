@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantlens.llm import debruijn, decontam, jaccard, langid, packing, pages, pii, suffixes, topk, toxicity
+from plantlens.llm import debruijn, decontam, jaccard, langid, merkle, packing, pages, pii, suffixes, topk, toxicity
 from plantlens.llm.common import read
 
 
@@ -65,7 +65,12 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.extract(rows, pages.fit_on(rows)).select("page_id", "url", "text", "n_chars")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(read(spark, sf_dir, "documents")).drop("proof")
+
+
 QUERIES = {
+    "op11_merkle_manifest": op11_merkle_manifest,
     "op10_html_text": op10_html_text,
     "op6_pii": op6_pii,
     "op4_toxicity": op4_toxicity,
@@ -158,10 +163,62 @@ from (
 where rank <= 20
 """
 
+OP11_SQL = r"""
+with recursive doc as (
+  select *, xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(cast(doc_id as varchar), ''),
+      lambda ch: list_transform(range(8), lambda k: (ascii(ch) >> cast(k as integer)) & 1)))),
+      lambda c, b: xor(c >> 1, 3988292384 * xor(c & 1, b))), 4294967295) % 7 = 0 as odd
+  from documents),
+said as (
+  select doc_id, lang, odd,
+    coalesce(strlen(cast(doc_id as varchar)) || ':' || cast(doc_id as varchar), '-')
+      || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') as head,
+    coalesce(strlen(cast(n_chars as varchar)) || ':' || cast(n_chars as varchar), '-') as n,
+    coalesce(strlen(cast(n_chars::hugeint + 1 as varchar)) || ':' || cast(n_chars::hugeint + 1 as varchar), '-') as more,
+    coalesce(strlen(text) || ':' || text, '-') as tail
+  from doc),
+leaf as (
+  select doc_id, lang, sha256(head || n || tail) as leaf,
+    sha256(head || case when odd then more else n end || tail) as changed from said),
+lang_no as (select lang, row_number() over (order by lang nulls first) - 1 as tree, count(*) as n from leaf group by lang),
+placed as (
+  select doc_id, tree, n, leaf, changed, row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as at
+  from leaf join lang_no on leaf.lang is not distinct from lang_no.lang),
+node as (
+  select tree, 0 as level, at, n, leaf as h from placed
+  union all
+  select tree, level + 1, at // 2, (n + 1) // 2, sha256(string_agg(h, '' order by at)) from node where n > 1
+  group by tree, level, at // 2, n),
+top as (
+  select 0 as level, tree as at, (select count(*) from lang_no) as n, h from node where n = 1
+  union all
+  select level + 1, at // 2, (n + 1) // 2, sha256(string_agg(h, '' order by at)) from top where n > 1
+  group by level, at // 2, n),
+climb as (
+  select doc_id, tree, leaf, 0 as level, at, n, '' as proof, changed as h from placed
+  union all
+  select c.doc_id, c.tree, c.leaf, c.level + 1, c.at // 2, (c.n + 1) // 2, c.proof || coalesce(o.h, ''),
+    sha256(case when c.at % 2 = 1 then o.h || c.h else c.h || coalesce(o.h, '') end)
+  from climb c left join node o on o.tree = c.tree and o.level = c.level and o.at = xor(c.at, 1)
+  where c.n > 1),
+rise as (
+  select doc_id, tree, leaf, 0 as level, tree as at, (select count(*) from lang_no) as n, proof, h from climb where n = 1
+  union all
+  select c.doc_id, c.tree, c.leaf, c.level + 1, c.at // 2, (c.n + 1) // 2, c.proof || coalesce(o.h, ''),
+    sha256(case when c.at % 2 = 1 then o.h || c.h else c.h || coalesce(o.h, '') end)
+  from rise c left join top o on o.level = c.level and o.at = xor(c.at, 1)
+  where c.n > 1)
+select rise.doc_id, rise.leaf, node.h as subroot, top.h as root, sha256(rise.proof) as proof_sha256, rise.h as folded_root,
+  rise.h = top.h as verified
+from rise join node on node.tree = rise.tree and node.n = 1 join top on top.n = 1
+where rise.n = 1
+"""
+
 #: The others are trained, or too slow in SQL over whole tables (byte strings); their tests hold them against brute force.
 ORACLE_SQL = {
     "op1_substring_dedup": OP1_SQL,
     "op2_ngram_jaccard": OP2_SQL,
     "op5_exact_topk": OP5_SQL,
     "op7_decontamination": OP7_SQL,
+    "op11_merkle_manifest": OP11_SQL,
 }
