@@ -182,31 +182,31 @@ leaf as (
     sha256(head || case when odd then more else n end || tail) as changed from said),
 lang_no as (select lang, row_number() over (order by lang nulls first) - 1 as tree, count(*) as n from leaf group by lang),
 placed as (
-  select doc_id, tree, n, leaf, changed, row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as at
+  select doc_id, tree, n, leaf, changed, row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as pos
   from leaf join lang_no on leaf.lang is not distinct from lang_no.lang),
 node as (
-  select tree, 0 as level, at, n, leaf as h from placed
+  select tree, 0 as level, pos, n, leaf as h from placed
   union all
-  select tree, level + 1, at // 2, (n + 1) // 2, sha256(string_agg(h, '' order by at)) from node where n > 1
-  group by tree, level, at // 2, n),
+  select tree, level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' order by pos)) from node where n > 1
+  group by tree, level, pos // 2, n),
 top as (
-  select 0 as level, tree as at, (select count(*) from lang_no) as n, h from node where n = 1
+  select 0 as level, tree as pos, (select count(*) from lang_no) as n, h from node where n = 1
   union all
-  select level + 1, at // 2, (n + 1) // 2, sha256(string_agg(h, '' order by at)) from top where n > 1
-  group by level, at // 2, n),
+  select level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' order by pos)) from top where n > 1
+  group by level, pos // 2, n),
 climb as (
-  select doc_id, tree, leaf, 0 as level, at, n, '' as proof, changed as h from placed
+  select doc_id, tree, leaf, 0 as level, pos, n, '' as proof, changed as h from placed
   union all
-  select c.doc_id, c.tree, c.leaf, c.level + 1, c.at // 2, (c.n + 1) // 2, c.proof || coalesce(o.h, ''),
-    sha256(case when c.at % 2 = 1 then o.h || c.h else c.h || coalesce(o.h, '') end)
-  from climb c left join node o on o.tree = c.tree and o.level = c.level and o.at = xor(c.at, 1)
+  select c.doc_id, c.tree, c.leaf, c.level + 1, c.pos // 2, (c.n + 1) // 2, c.proof || coalesce(o.h, ''),
+    sha256(case when c.pos % 2 = 1 then o.h || c.h else c.h || coalesce(o.h, '') end)
+  from climb c left join node o on o.tree = c.tree and o.level = c.level and o.pos = xor(c.pos, 1)
   where c.n > 1),
 rise as (
-  select doc_id, tree, leaf, 0 as level, tree as at, (select count(*) from lang_no) as n, proof, h from climb where n = 1
+  select doc_id, tree, leaf, 0 as level, tree as pos, (select count(*) from lang_no) as n, proof, h from climb where n = 1
   union all
-  select c.doc_id, c.tree, c.leaf, c.level + 1, c.at // 2, (c.n + 1) // 2, c.proof || coalesce(o.h, ''),
-    sha256(case when c.at % 2 = 1 then o.h || c.h else c.h || coalesce(o.h, '') end)
-  from rise c left join top o on o.level = c.level and o.at = xor(c.at, 1)
+  select c.doc_id, c.tree, c.leaf, c.level + 1, c.pos // 2, (c.n + 1) // 2, c.proof || coalesce(o.h, ''),
+    sha256(case when c.pos % 2 = 1 then o.h || c.h else c.h || coalesce(o.h, '') end)
+  from rise c left join top o on o.level = c.level and o.pos = xor(c.pos, 1)
   where c.n > 1)
 select rise.doc_id, rise.leaf, node.h as subroot, top.h as root, sha256(rise.proof) as proof_sha256, rise.h as folded_root,
   rise.h = top.h as verified
