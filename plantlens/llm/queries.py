@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantlens.llm import debruijn, decontam, jaccard, langid, merkle, packing, pages, pii, suffixes, topk, toxicity
+from plantlens.llm import debruijn, decontam, jaccard, langid, merkle, packing, pages, phrases, pii, suffixes, topk, toxicity
 from plantlens.llm.common import read
 
 
@@ -69,7 +69,12 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(read(spark, sf_dir, "documents")).drop("proof")
 
 
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op12_phrase_collocations": op12_phrase_collocations,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op10_html_text": op10_html_text,
     "op6_pii": op6_pii,
@@ -214,6 +219,37 @@ from rise join node on node.tree = rise.tree and node.n = 1 join top on top.n =
 where rise.n = 1
 """
 
+OP12_SQL = r"""
+with piece as (
+  select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as p
+  from documents),
+said as (select lang, list_filter(regexp_split_to_array(p, '[\x20\x09]+'), lambda w: w <> '') as w from piece),
+total as (select lang, cast(sum(len(w)) as bigint) as n from said group by lang),
+gram as (
+  select lang, k, array_to_string(w[i:i + k - 1], ' ') as g
+  from (select lang, w, k, unnest(generate_series(1, len(w) - k + 1)) as i
+        from said, (select unnest([1, 2, 3, 4, 5]) as k) where len(w) >= k)),
+often as (select lang, k, g, count(*) as f from gram group by all having count(*) >= 100),
+part as (
+  select lang, g, f, string_split(g, ' ') as w, k, unnest(generate_series(1, k - 1)) as j from often where k > 1),
+cutting as (
+  select part.lang, part.g, part.f as a, part.j, x.f as l, y.f as r, n,
+    cast((1000 * part.f::hugeint * n) // (x.f::hugeint * y.f) as bigint) as score
+  from part join total on total.lang = part.lang
+  join often x on x.lang = part.lang and x.k = part.j and x.g = array_to_string(part.w[1:part.j], ' ')
+  join often y on y.lang = part.lang and y.k = part.k - part.j and y.g = array_to_string(part.w[part.j + 1:], ' ')),
+weakest as (
+  select * from (select *, row_number() over (partition by lang, g order by score, j) as o from cutting) where o = 1),
+kept as (
+  select * from weakest c where not exists (
+    select 1 from often o where o.lang = c.lang and 100 * o.f >= 100 * c.a and strlen(o.g) > strlen(c.g)
+      and contains(' ' || o.g || ' ', ' ' || c.g || ' '))),
+ranked as (
+  select *, row_number() over (partition by lang order by score desc, a desc, encode(g)) as place from kept)
+select lang, place as rank, g as phrase, a, l, r, n, score from ranked where place <= 2000
+"""
+
 #: The others are trained, or too slow in SQL over whole tables (byte strings); their tests hold them against brute force.
 ORACLE_SQL = {
     "op1_substring_dedup": OP1_SQL,
@@ -221,4 +257,5 @@ ORACLE_SQL = {
     "op5_exact_topk": OP5_SQL,
     "op7_decontamination": OP7_SQL,
     "op11_merkle_manifest": OP11_SQL,
+    "op12_phrase_collocations": OP12_SQL,
 }
