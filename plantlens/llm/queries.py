@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantlens.llm import debruijn, decontam, jaccard, langid, merkle, packing, pages, phrases, pii, suffixes, topk, toxicity
+from plantlens.llm import debruijn, decontam, jaccard, langid, licenses, merkle, packing, pages, phrases, pii, suffixes, topk, toxicity
 from plantlens.llm.common import read
 
 
@@ -73,7 +73,13 @@ def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(read(spark, sf_dir, "documents"))
 
 
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = licenses.scan(read(spark, sf_dir, "documents"))
+    return out.withColumns({c: F.array_join(c, ",") for c in ("base_labels", "labels")})
+
+
 QUERIES = {
+    "op13_license_scan": op13_license_scan,
     "op12_phrase_collocations": op12_phrase_collocations,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op10_html_text": op10_html_text,
@@ -250,6 +256,58 @@ ranked as (
 select lang, place as rank, g as phrase, a, l, r, n, score from ranked where place <= 2000
 """
 
+
+def op13_sql() -> str:
+    """The same templates as rows of values."""
+    words, keys = licenses.template_rows()
+    said = ", ".join(f"({t}, '{lab}', {str(base).lower()}, {at}, '{w}')" for t, lab, base, at, w in words)
+    need = ", ".join(f"({t}, {k}, {at}, {part})" for t, k, at, part in keys)
+    return OP13_SQL.replace("$WORDS", said).replace("$KEYS", need)
+
+
+OP13_SQL = r"""
+with doc as (
+  select row_number() over () as no, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') as w
+  from documents),
+said(t, label, base, j, word) as (values $WORDS),
+need(t, k, j, part) as (values $KEYS),
+tok as (
+  select no, word, pos from (
+    select no, unnest(w) as word, unnest(generate_series(0, len(w) - 1)) as pos from doc where len(w) > 0)
+  where word in (select word from said)),
+held as (select word, count(distinct no) as df from tok group by word),
+weighed as (
+  select said.*, ln(((select count(*) from documents) + 1.0) / (coalesce(df, 0) + 1)) as weight,
+    row_number() over (partition by t order by coalesce(df, 0), j) as o
+  from said left join held on held.word = said.word),
+rare as (select *, weight / sum(weight) over (partition by t) as part_of from weighed where o <= 6 and not base),
+stood as (
+  select tok.no, need.t, need.k, need.j, tok.pos as place
+  from need join tok on tok.word = need.part[1] join doc on doc.no = tok.no
+  where doc.w[tok.pos + 1:tok.pos + len(need.part)] = need.part),
+vote as (
+  select no, t, floor((pos - j) / 16.0) as b, j, null as k, part_of as p from tok join rare on rare.word = tok.word
+  union all
+  select no, t, floor((place - j) / 16.0), null, k, 0.0 from stood where t not in (select t from said where base)),
+near as (select no, t, b, j, k, p from vote union all select no, t, b + 1, j, k, p from vote),
+met as (
+  select no, t, b, sum(p) as share, count(k) as keys
+  from (select no, t, b, j, k, max(p) as p from near group by all) group by all),
+noticed as (
+  select no, list(distinct label) filter (where keys >= needs) as own, round(least(1.0, max(share)), 6) as share
+  from met join (select t, max(k) + 1 as needs from need group by t) n on n.t = met.t
+  join (select distinct t, label from said) l on l.t = met.t group by no),
+based as (
+  select no, count(*) as n_base, min(place) as first_word, max(place) as last_word, list(distinct label) as labels
+  from stood join (select distinct t, label from said where base) l on l.t = stood.t group by no)
+select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_base, 0) as n_base, cast(first_word as bigint) as first_word,
+  cast(last_word as bigint) as last_word, array_to_string(list_sort(coalesce(based.labels, [])), ',') as base_labels,
+  array_to_string(list_sort(list_distinct(list_concat(coalesce(based.labels, []), coalesce(own, [])))), ',') as labels,
+  cast(case when n_base > 0 then 1 when share >= 0.5 then share else 0 end as double) as score
+from doc left join noticed on noticed.no = doc.no left join based on based.no = doc.no
+"""
+
 #: The others are trained, or too slow in SQL over whole tables (byte strings); their tests hold them against brute force.
 ORACLE_SQL = {
     "op1_substring_dedup": OP1_SQL,
@@ -258,4 +316,5 @@ ORACLE_SQL = {
     "op7_decontamination": OP7_SQL,
     "op11_merkle_manifest": OP11_SQL,
     "op12_phrase_collocations": OP12_SQL,
+    "op13_license_scan": op13_sql(),
 }
