@@ -22,9 +22,9 @@ from ..sources import lake as lake_src, tables
 from ..sources.lake import melt
 from ..sources.weather import to_grid
 from ..learning import evaluate, models
-from ..learning.scorers import linear_scorer
+from ..learning.scorers import RatioScorer, linear_scorer
 from ..session import cut_lineage, work_dir
-from ..streaming import dayclose, intake, replay
+from ..streaming import boot, dayclose, intake, replay
 from . import views
 from .canonical import build_dataset, model_power, with_clearsky
 from .diagnose import Diagnosis, day_table, diagnose, event_table, flagged_days
@@ -592,6 +592,21 @@ def stream_replay_diff(spark, sf):
     return evaluation.agreement_by_class(replay.compare(truth, closed))
 
 
+def stream_boot(spark, sf):
+    """Half of the posted readings become state; the stream closes the rest, and
+    continues the count of days, as if it had seen everything."""
+    sites = cut_lineage(views.geometry_sites(spark, sf), "sites")
+    judged = intake.judge(views.posted_lines(spark, sf).withColumn("seq", F.lit("")), "Solar")
+    judged = cut_lineage(judged, "judged")
+    early = F.col("ts") < views.BOOT_AT
+    path = work_dir(spark, "boot")
+    judged.where(~early).select("value").write.text(f"{path}/posted")
+    live = intake.accepted_power(intake.judge(intake.read_lines(spark, f"{path}/posted"), "Solar"))
+    history = intake.accepted_power(judged.where(early)).select("node_id", "ts", "watts", "seq")
+    closed = boot.boot(spark, history, live, sites, RatioScorer(), path, views.plant_weather(spark, sf))
+    return closed.select("site_id", "local_date", r("pi"), r("coverage"), "history_days")
+
+
 QUERIES: dict[str, Query] = {
     "sentinel_mask": sentinel_mask,
     "channel_last_value": channel_last_value,
@@ -656,4 +671,5 @@ QUERIES: dict[str, Query] = {
     "confident_unclassified": confident_unclassified,
     "stream_day_close": stream_day_close,
     "stream_replay_diff": stream_replay_diff,
+    "stream_boot": stream_boot,
 }

@@ -343,6 +343,21 @@ CANONICAL = PLANT + """,
 g AS (SELECT *, d + h * INTERVAL 1 HOUR AS t, 35.0::DOUBLE AS lat, 25.0::DOUBLE AS tilt, 180.0::DOUBLE AS az FROM plant),""" \
     + SUN_STEPS + _runs("ac", "acr", "g")
 
+STREAMED = PLANT + """,
+life AS (SELECT site_id, min(d) AS lo, max(d) AS hi FROM plant WHERE ac IS NOT NULL GROUP BY site_id),
+sd AS (SELECT site_id, lo, CAST(unnest(generate_series(lo, hi - 1, INTERVAL 1 DAY)) AS DATE) AS d FROM life),
+g AS (
+  SELECT sd.site_id, sd.lo, sd.d, t.h, x.ac, x.expected_kw, 35.0::DOUBLE AS lat, 25.0::DOUBLE AS tilt, 180.0::DOUBLE AS az
+  FROM sd CROSS JOIN range(24) t(h) LEFT JOIN plant x ON x.site_id = sd.site_id AND x.d = sd.d AND x.h = t.h),""" \
+    + SUN_STEPS + """,
+seen AS (
+  SELECT site_id, lo, d, CASE WHEN ac IS NULL AND cs <= 0 THEN 0 ELSE ac END AS ac,
+    coalesce(expected_kw, 100 * (cs / 1000) * 0.8::DOUBLE) AS ex FROM sun),
+streamed AS (
+  SELECT site_id, lo, d, count(CASE WHEN ac IS NOT NULL AND ex IS NOT NULL THEN 1 END) / 24.0::DOUBLE AS coverage,
+    sum(CASE WHEN ex IS NOT NULL THEN ac END) AS ba, sum(CASE WHEN ac IS NOT NULL THEN ex END) AS be
+  FROM seen GROUP BY site_id, lo, d)"""
+
 DATUMS = """
 datum AS (
   SELECT user_id % 4 AS node, event_type AS src, event_id, CAST(floor(epoch(ts)) AS BIGINT) AS tsec, value,
@@ -604,6 +619,9 @@ def oracle_sql() -> dict[str, str]:
         "datum_upsert": q(DATUMS, """
             SELECT node, b AS bucket, max_by(value, event_id) AS watts FROM (
               SELECT *, tsec - tsec % 3600 AS b FROM datum WHERE src = 'view' AND k % 10 > 3) GROUP BY ALL"""),
+        "stream_boot": q(STREAMED, """
+            SELECT site_id, d AS local_date, round(CASE WHEN coverage >= 0.8 AND be > 0 THEN ba / be END, 6) AS pi,
+              round(coverage, 6) AS coverage, CAST(date_diff('day', lo, d) AS INTEGER) AS history_days FROM streamed"""),
         "pending_days": q(DATUMS, """,
             lab AS (SELECT node, CAST(make_timestamp((tsec + 3600) * 1000000) AS DATE) AS d FROM datum WHERE src = 'view'),
             sp AS (SELECT node, CAST(unnest(generate_series(min(d), max(d) - 1, INTERVAL 1 DAY)) AS DATE) AS d FROM lab GROUP BY node),

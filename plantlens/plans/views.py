@@ -20,6 +20,8 @@ from ..sources.datums import as_datums
 
 SUPPLIERS_PER_PLANT = 20
 USERS_PER_PLANT = 75
+#: Noon of the day in the middle of the plants' calendar, 1998-04-01, in unix seconds.
+BOOT_AT = 891432000
 CHANNELS = ["click", "error", "purchase", "signup", "view"]
 
 
