@@ -12,6 +12,7 @@ from ..functions.units import convert, mask_sentinels
 from ..operators import evaluation, events as ev, quality, splits, trend
 from ..operators.align import dedupe, last_value_per_channel, resample_mean
 from ..operators.daily import add_flags, build_daily
+from ..operators.numbering import shuffled
 from ..operators.referee import daily_divergence, inverter_daily
 from ..operators.rules import classify
 from ..operators.shape import day_shape
@@ -541,6 +542,14 @@ def loso_eval(spark, sf):
     return evaluation.classification_report(scored, "final_label", "pred")
 
 
+def feature_shuffle(spark, sf):
+    """One repeat of the importance's permutation: each day with the clear-sky ratio of its partner."""
+    rows = cut_lineage(_training(spark, sf).select("site", "date", "csr", "chop"), "shuffle")
+    return shuffled(rows, ["site", "date"], ["csr", "chop"], 7).select(
+        "site", "date", r("csr"), F.round("moved.csr", 6).alias("moved_csr"), F.round("moved.chop", 6).alias("moved_chop")
+    )
+
+
 def perm_importance(spark, sf):
     bundle, scored = evaluate.holdout_predictions(_learnable(spark, sf), "logreg")
     return evaluate.permutation_importance(bundle, cut_lineage(scored, "holdout"))
@@ -668,6 +677,7 @@ QUERIES: dict[str, Query] = {
     "model_gbt": _holdout("hgb", max_iter=5),
     "loso_eval": loso_eval,
     "perm_importance": perm_importance,
+    "feature_shuffle": feature_shuffle,
     "confident_unclassified": confident_unclassified,
     "stream_day_close": stream_day_close,
     "stream_replay_diff": stream_replay_diff,

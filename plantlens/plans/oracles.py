@@ -540,6 +540,12 @@ def oracle_sql() -> dict[str, str]:
         "training_frame": q(TRAINING, """
             SELECT site, date, round(actual_kwh, 4) AS actual_kwh, round(expected_kwh, 4) AS expected_kwh, round(pi, 6) AS pi,
                    CAST(flagged AS INTEGER) AS flagged, rule_label, final_label, final_label_2, verdict, provenance FROM training"""),
+        "feature_shuffle": q(TRAINING, """,
+            own AS (SELECT site, date, csr, row_number() OVER (ORDER BY site, date) AS i FROM training),
+            lot AS (SELECT csr, chop, row_number() OVER (
+              ORDER BY sha256('7:' || site || ':' || CAST(date AS VARCHAR)), site, date) AS i FROM training)
+            SELECT own.site, own.date, round(own.csr, 6) AS csr, round(lot.csr, 6) AS moved_csr, round(lot.chop, 6) AS moved_chop
+            FROM own JOIN lot ON lot.i = own.i"""),
         "event_ids": q(EVENT_IDS, "SELECT site, date, final_label, event_id FROM ids"),
         "event_split": q(EVENT_IDS, """
             SELECT site, date, event_id, CAST(CAST(('0x' || substr(sha256('dev' || event_id), 1, 16)) AS UBIGINT)::DOUBLE
