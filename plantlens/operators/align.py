@@ -135,50 +135,3 @@ def fill_days(daily: DataFrame, keys: list[str] = ("site_id",), day: str = "loca
         F.col("_day").alias(day),
         *[F.when(real, F.col(c)).alias(c) for c in rest],
     )
-
-
-def with_halo(df: DataFrame, value: str, k: int) -> DataFrame:
-    """Rows of each (site, day) plus copies of the ``k`` nearest non-NULL
-    readings before and after it, flagged ``_halo``.
-
-    A window over (site, day) then sees across midnight, and across silent days,
-    while a plant's history stays spread over its days. Only ``2k`` readings per
-    day travel through the per-site step.
-    """
-    slim = df.where(F.col(value).isNotNull()).select("site_id", "local_date", "ts_utc", value)
-    day = Window.partitionBy("site_id", "local_date")
-    point = F.struct(F.col("ts_utc"), F.col(value).alias("v"))
-    edges = (
-        slim.withColumn("_first", F.row_number().over(day.orderBy("ts_utc")))
-        .withColumn("_last", F.row_number().over(day.orderBy(F.desc("ts_utc"))))
-        .where((F.col("_first") <= k) | (F.col("_last") <= k))
-        .groupBy("site_id", "local_date")
-        .agg(
-            F.sort_array(F.collect_list(F.when(F.col("_first") <= k, point))).alias("head"),
-            F.sort_array(F.collect_list(F.when(F.col("_last") <= k, point))).alias("tail"),
-        )
-    )
-    days = Window.partitionBy("site_id").orderBy("local_date")
-    before = F.flatten(F.collect_list("tail").over(days.rowsBetween(-k, -1)))
-    after = F.flatten(F.collect_list("head").over(days.rowsBetween(1, k)))
-    halo = (
-        edges.withColumn("before", before)
-        .withColumn("after", after)
-        .select(
-            "site_id",
-            "local_date",
-            F.explode(
-                F.concat(
-                    F.slice(
-                        F.col("before"),
-                        F.greatest(F.size("before") - k + 1, F.lit(1)),
-                        F.lit(k),
-                    ),
-                    F.slice("after", 1, k),
-                )
-            ).alias("p"),
-        )
-        .select("site_id", "local_date", F.col("p.ts_utc"), F.col("p.v").alias(value),
-                F.lit(True).alias("_halo"))
-    )
-    return df.withColumn("_halo", F.lit(False)).unionByName(halo, allowMissingColumns=True)

@@ -525,6 +525,32 @@ def canonical_dataset(spark, sf):
     )
 
 
+def _laddered(spark, sf):
+    """Plants on every rung of the trust ladder, their readings judged once."""
+    sites = views.sensor_sites(spark, sf)
+    return build_dataset(
+        views.sensor_readings(spark, sf), sites, views.plant_weather(spark, sf), materialize=True
+    )
+
+
+def trust_ladder(spark, sf):
+    """Expected power from the plant's sensor, else the weather, else the clear sky."""
+    return _laddered(spark, sf)[0].select("site_id", stamp("ts_utc"), r("poa_wm2"), r("expected_kw", 5), r("temp_c"))
+
+
+def night_zero(spark, sf):
+    """Meter readings after the gate, with the missing ones of the night as zeros, per day."""
+    return _laddered(spark, sf)[0].groupBy("site_id", "local_date").agg(
+        F.count("ac_power_kw").alias("n"), F.count_if(F.col("ac_power_kw") == 0).alias("zeros"),
+        F.round(F.sum("ac_power_kw"), 4).alias("kwh"),
+    )
+
+
+def poa_checks(spark, sf):
+    """Masked readings per plant and check, the irradiance checks among them."""
+    return _laddered(spark, sf)[1]
+
+
 def _learnable(spark, sf):
     """The training table, written once: every fit reads it many times."""
     return splits.trainable(cut_lineage(_training(spark, sf), "training"))
@@ -672,6 +698,9 @@ QUERIES: dict[str, Query] = {
     "datum_upsert": datum_upsert,
     "pending_days": pending_days,
     "canonical_dataset": canonical_dataset,
+    "trust_ladder": trust_ladder,
+    "night_zero": night_zero,
+    "poa_checks": poa_checks,
     "model_logreg": _holdout("logreg"),
     "model_rf": _holdout("rf"),
     "model_gbt": _holdout("hgb", max_iter=5),

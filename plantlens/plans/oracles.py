@@ -38,7 +38,7 @@ stage AS (
          CASE WHEN p BETWEEN 20 AND 25 THEN 50.0::DOUBLE
               WHEN p BETWEEN 40 AND 42 THEN 78.0::DOUBLE ELSE 1e9::DOUBLE END AS cap
   FROM grid),
-plant AS (
+plant AS MATERIALIZED (
   SELECT 'P' || no AS site_id, no, d, h, p, 80.0::DOUBLE * bell * sky * gain AS expected_kw,
          CASE WHEN bell = 0 THEN 0.0::DOUBLE
               WHEN ratio IS NULL OR (p BETWEEN 105 AND 107 AND h >= 11) THEN NULL
@@ -330,7 +330,7 @@ s4 AS (
 s5 AS (
   SELECT *, up * cos(b) + nn * sin(b) * cos(fz) + ee * sin(b) * sin(fz) AS fc,
     1098.0 * up * exp(-0.057 / greatest(up, 1e-6)) AS ghi FROM s4),
-sun AS (
+sun AS MATERIALIZED (
   SELECT *, CASE WHEN up > 0 THEN 0.88::DOUBLE * ghi / greatest(up, 1e-6) * greatest(fc, 0)
     + 0.12::DOUBLE * ghi * (1 + cos(b)) / 2 + 0.25::DOUBLE * ghi * (1 - cos(b)) / 2 ELSE 0 END AS cs FROM s5)"""
 
@@ -343,6 +343,24 @@ CANONICAL = PLANT + """,
 g AS (SELECT *, d + h * INTERVAL 1 HOUR AS t, 35.0::DOUBLE AS lat, 25.0::DOUBLE AS tilt, 180.0::DOUBLE AS az FROM plant),""" \
     + SUN_STEPS + _runs("ac", "acr", "g")
 
+LADDER = PLANT + """,
+raw AS (
+  SELECT site_id, no, d, h, ac, temp, expected_kw, CASE WHEN poa IS NULL THEN NULL WHEN no % 6 = 5 THEN -50
+      WHEN p BETWEEN 10 AND 12 AND h BETWEEN 9 AND 15 THEN 640 WHEN p = 13 AND h = 8 THEN -20
+      WHEN p BETWEEN 14 AND 15 THEN poa * 2.2::DOUBLE ELSE poa END AS poa FROM plant),
+g AS (SELECT *, d + h * INTERVAL 1 HOUR AS t, 35.0::DOUBLE AS lat, 25.0::DOUBLE AS tilt, 180.0::DOUBLE AS az FROM raw),""" \
+    + SUN_STEPS + _runs("ac", "acr", "g") + _runs("poa", "poar", "g") + """,
+judged AS (
+  SELECT sun.*, coalesce(a.stale AND ac <> 0 AND ac < 72, FALSE) AS ac_stale, coalesce(a.interp AND ac <> 0 AND ac < 72, FALSE) AS ac_interp,
+    coalesce(poa < -10, FALSE) AS poa_negative, coalesce(p.stale AND poa > 0, FALSE) AS poa_stale,
+    CASE WHEN cs > 200 THEN coalesce(poa / cs > 1.5, FALSE) ELSE FALSE END AS poa_ceiling, temp < -35 OR temp > 50 AS temp_range
+  FROM sun LEFT JOIN acr a ON a.site_id = sun.site_id AND a.t = sun.t LEFT JOIN poar p ON p.site_id = sun.site_id AND p.t = sun.t),
+gated AS (
+  SELECT *, CASE WHEN NOT (ac_stale OR ac_interp) THEN ac END AS kw,
+    CASE WHEN NOT (poa_negative OR poa_stale OR poa_ceiling) THEN poa END AS g_poa,
+    CASE WHEN NOT temp_range THEN temp END AS g_temp FROM judged),
+rung AS (SELECT *, count(g_poa) OVER (PARTITION BY site_id) > 0 AS sensor FROM gated)"""
+
 STREAMED = PLANT + """,
 life AS (SELECT site_id, min(d) AS lo, max(d) AS hi FROM plant WHERE ac IS NOT NULL GROUP BY site_id),
 sd AS (SELECT site_id, lo, CAST(unnest(generate_series(lo, hi - 1, INTERVAL 1 DAY)) AS DATE) AS d FROM life),
@@ -625,6 +643,22 @@ def oracle_sql() -> dict[str, str]:
         "datum_upsert": q(DATUMS, """
             SELECT node, b AS bucket, max_by(value, event_id) AS watts FROM (
               SELECT *, tsec - tsec % 3600 AS b FROM datum WHERE src = 'view' AND k % 10 > 3) GROUP BY ALL"""),
+        "trust_ladder": q(LADDER, """
+            SELECT site_id, strftime(t, '%Y-%m-%d %H:%M:%S') AS label, round(g_poa, 6) AS poa_wm2,
+              round(CASE WHEN sensor THEN 100 * (g_poa / 1000) * 0.8::DOUBLE WHEN no % 4 <> 3 THEN expected_kw
+                ELSE 100 * (cs / 1000) * 0.8::DOUBLE END, 5) AS expected_kw, round(g_temp, 6) AS temp_c FROM rung"""),
+        "night_zero": q(LADDER, """
+            SELECT site_id, d AS local_date, count(x) AS n, count(CASE WHEN x = 0 THEN 1 END) AS zeros, round(sum(x), 4) AS kwh
+            FROM (SELECT *, CASE WHEN kw IS NULL AND cs <= 0 THEN 0 ELSE kw END AS x FROM gated) GROUP BY ALL"""),
+        "poa_checks": q(LADDER, """
+            SELECT site_id, check_name, n FROM (
+              SELECT site_id, 'meter stale' AS check_name, count(CASE WHEN ac_stale THEN 1 END) AS n FROM judged GROUP BY site_id
+              UNION ALL SELECT site_id, 'meter interpolated', count(CASE WHEN ac_interp THEN 1 END) FROM judged GROUP BY site_id
+              UNION ALL SELECT site_id, 'poa negative', count(CASE WHEN poa_negative THEN 1 END) FROM judged GROUP BY site_id
+              UNION ALL SELECT site_id, 'poa stale', count(CASE WHEN poa_stale THEN 1 END) FROM judged GROUP BY site_id
+              UNION ALL SELECT site_id, 'poa above clear ceiling', count(CASE WHEN poa_ceiling THEN 1 END) FROM judged GROUP BY site_id
+              UNION ALL SELECT site_id, 'temp out of range', count(CASE WHEN temp_range THEN 1 END) FROM judged GROUP BY site_id)
+            WHERE n > 0"""),
         "stream_boot": q(STREAMED, """
             SELECT site_id, d AS local_date, round(CASE WHEN coverage >= 0.8 AND be > 0 THEN ba / be END, 6) AS pi,
               round(coverage, 6) AS coverage, CAST(date_diff('day', lo, d) AS INTEGER) AS history_days FROM streamed"""),

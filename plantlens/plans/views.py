@@ -230,6 +230,33 @@ def geometry_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     })
 
 
+def sensor_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plants with a location for every rung of the trust ladder: a third with an
+    irradiance sensor, which is broken in every second one, a quarter without weather."""
+    no = F.substring("site_id", 2, 20).cast("int")
+    return plant_sites(spark, sf_dir).withColumns({
+        "lat": F.lit(35.0), "lon": F.lit(0.0), "tilt": F.lit(25.0), "azimuth": F.lit(180.0),
+        "has_met": no % 4 != 3,
+    })
+
+
+def sensor_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Meter, irradiance and temperature, with flat, negative and impossible irradiance."""
+    c, p, h = F.col, F.col("phase"), F.hour("local_ts")
+    no = F.substring("site_id", 2, 20).cast("int")
+    poa = (
+        F.when(c("poa_wm2").isNull(), F.lit(None)).when(no % 6 == 5, F.lit(-50.0))
+        .when(p.between(10, 12) & h.between(9, 15), F.lit(640.0))
+        .when((p == 13) & (h == 8), F.lit(-20.0))
+        .when(p.between(14, 15), c("poa_wm2") * 2.2).otherwise(c("poa_wm2"))
+    )
+    return conform(
+        plant_interval(spark, sf_dir).withColumn("poa_wm2", poa).select(
+            "site_id", "ts_utc", "local_ts", "local_date", "ac_power_kw", "poa_wm2", "temp_c"),
+        INTERVAL,
+    )
+
+
 def meter_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Plant meters without modelled columns."""
     return conform(
