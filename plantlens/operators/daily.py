@@ -74,9 +74,8 @@ def add_flags(daily: DataFrame, windows: tuple[int, ...] = (30,), passes: int =
     """Self-excluding rolling baseline and the flags derived from it.
 
     Needs ``coverage_min, flag_threshold, pi_ceiling, window_days``. ``windows``
-    are the lengths in use; the largest bounds the rows collected, of which each
-    row takes its own ``window_days``, and a plant with a longer one is an error.
-    All passes
+    are the lengths in use: each has its window, of which a row takes the one of
+    its ``window_days``; any other length is an error. All passes
     share one partitioning and one order, so the whole fixpoint is a single
     shuffle of day rows; a pass after convergence changes nothing, so running
     the full number equals stopping early. One row per site and calendar day
@@ -85,20 +84,23 @@ def add_flags(daily: DataFrame, windows: tuple[int, ...] = (30,), passes: int =
     days = Window.partitionBy("site_id").orderBy("local_date")
     so_far = days.rowsBetween(Window.unboundedPreceding, 0)
 
-    longest = max(windows)
-    own = F.when(F.col("window_days") <= longest, F.col("window_days")).otherwise(
-        F.raise_error(F.concat(F.lit("window_days not among the windows in use: "), F.col("window_days")))
-    ).cast("int")
+    lengths = sorted(set(windows))
+    known = F.col("window_days").isin(lengths) | F.raise_error(
+        F.concat(F.lit("window_days not among the windows in use: "), F.col("window_days"))
+    ).cast("boolean")
 
     def trailing_median(values: Column) -> Column:
         # days without a value count as days of the window
-        held = F.collect_list(F.struct(values.alias("v"))).over(days.rowsBetween(-longest, -1))
-        recent = F.slice(held, F.greatest(F.lit(1), F.size(held) - own + 1), own)
-        usable = F.filter(F.transform(recent, lambda d: d["v"]), lambda v: v.isNotNull())
-        return F.when(F.size(usable) >= F.floor(own / 2), median_of(usable))
+        out = None
+        for n in lengths:
+            past = days.rowsBetween(-n, -1)
+            median = F.when(F.count(values).over(past) >= n // 2, median_of(F.collect_list(values).over(past)))
+            mine = F.col("window_days") == n
+            out = F.when(mine, median) if out is None else out.when(mine, median)
+        return out if len(lengths) > 1 else median
 
     out = daily.withColumn(
-        "pi", F.when(F.col("coverage") >= F.col("coverage_min"), F.col("pi"))
+        "pi", F.when(known & (F.col("coverage") >= F.col("coverage_min")), F.col("pi"))
     ).withColumn("_low", F.lit(False))
     for _ in range(passes):
         out = out.withColumn("_usable", F.when(~F.col("_low"), F.col("pi")))

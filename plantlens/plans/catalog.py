@@ -234,18 +234,27 @@ def daily_build(spark, sf):
     )
 
 
-def _flags(spark, sf):
+def _flags(spark, sf, windows=(30,), window_days=None):
     daily, sites = _daily(spark, sf)
+    if window_days is not None:
+        sites = sites.withColumn("window_days", window_days)
     facts = sites.select(
         "site_id", "coverage_min", "flag_threshold", "pi_ceiling", "window_days", "has_met"
     )
-    return add_flags(daily.join(facts, "site_id"))
+    return add_flags(daily.join(facts, "site_id"), windows)
 
 
 def baseline_flags(spark, sf):
     return _flags(spark, sf).select("site_id", "local_date", r("pi"), r("pi_baseline"), i("flagged"))
 
 
+def baseline_windows(spark, sf):
+    """Every second plant has a baseline of 45 days instead of 30."""
+    even = F.substring("site_id", 2, 20).cast("int") % 2 == 0
+    out = _flags(spark, sf, (30, 45), F.when(even, F.lit(30)).otherwise(F.lit(45)))
+    return out.select("site_id", "local_date", r("pi"), r("pi_baseline"), i("flagged"))
+
+
 def shape(spark, sf):
     out = day_shape(*_plant(spark, sf))
     six = ["peak", "tmax", "midday_expected", "csr", "model_csr", "chop", "morning_ratio",
@@ -660,6 +669,7 @@ QUERIES: dict[str, Query] = {
     "quality_gate": quality_gate,
     "daily_build": daily_build,
     "baseline_flags": baseline_flags,
+    "baseline_windows": baseline_windows,
     "day_shape": shape,
     "snow_trails": snow_trails,
     "pi_step": pi_step,

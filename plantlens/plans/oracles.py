@@ -68,16 +68,19 @@ daily AS (
   FROM spine s LEFT JOIN sums x ON x.site_id = s.site_id AND x.d = s.d)"""
 
 
-def _passes() -> str:
+def _passes(windows: dict[int, str] = {30: "TRUE"}) -> str:
+    """The passes of the baseline; ``windows``: days -> the sites that have this length."""
     out = """,
 f0 AS (SELECT *, pi AS raw_pi, CASE WHEN coverage >= 0.8 THEN pi END AS mpi,
               FALSE AS low, CAST(NULL AS DOUBLE) AS base FROM daily)"""
+    med = " ".join(
+        f"WHEN {sites} AND count(CASE WHEN NOT low THEN mpi END) OVER w{n} >= {n // 2}"
+        f" THEN quantile_cont(CASE WHEN NOT low THEN mpi END, 0.5) OVER w{n}" for n, sites in windows.items())
+    frames = ", ".join(
+        f"w{n} AS (PARTITION BY site_id ORDER BY d ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING)" for n in windows)
     for i in range(1, FLAG_PASSES + 1):
         out += f""",
-m{i} AS (
-  SELECT * EXCLUDE (base), CASE WHEN count(CASE WHEN NOT low THEN mpi END) OVER w >= 15
-    THEN quantile_cont(CASE WHEN NOT low THEN mpi END, 0.5) OVER w END AS med
-  FROM f{i - 1} WINDOW w AS (PARTITION BY site_id ORDER BY d ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING)),
+m{i} AS (SELECT * EXCLUDE (base), CASE {med} END AS med FROM f{i - 1} WINDOW {frames}),
 b{i} AS (
   SELECT * EXCLUDE (med), last_value(med IGNORE NULLS) OVER (PARTITION BY site_id ORDER BY d
     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS base FROM m{i}),
@@ -510,6 +513,9 @@ def oracle_sql() -> dict[str, str]:
         "baseline_flags": q(FLAGS, """
             SELECT site_id, d AS local_date, round(pi, 6) AS pi, round(pi_baseline, 6) AS pi_baseline,
                    CAST(flagged AS INTEGER) AS flagged FROM flags"""),
+        "baseline_windows": q(DAILY + _passes({30: "no % 2 = 0", 45: "no % 2 = 1"}), """
+            SELECT site_id, d AS local_date, round(pi, 6) AS pi, round(pi_baseline, 6) AS pi_baseline,
+                   CAST(flagged AS INTEGER) AS flagged FROM flags"""),
         "day_shape": q(SHAPE, """
             SELECT site_id, d AS local_date, round(peak, 6) AS peak, round(tmax, 6) AS tmax,
                    round(midday_expected, 6) AS midday_expected, round(csr, 6) AS csr, round(model_csr, 6) AS model_csr,
