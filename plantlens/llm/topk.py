@@ -115,7 +115,8 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 20, scale: int = SCALE,
     components take no part, as candidates or queries, nor do null ids; vectors
     of other dimensions than the query's have no product with it. Equal rows
     are candidates of their own; a query id that stands on several rows has one
-    result for each distinct vector it stands for. An empty table gives no row.
+    result for each distinct vector it stands for. An empty vector has products of
+    0 with empty ones. An empty table gives no row.
     """
     rows = vectors.filter(usable(F.col(vector)) & F.col("vec_id").isNotNull()).select(
         F.col("vec_id").cast("long").alias("vec_id"), scaled(F.col(vector), scale).alias("ints"), queries.alias("asks"))
@@ -135,22 +136,26 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 20, scale: int = SCALE,
     buckets = cut(buckets.join(placed.select("bucket", "place"), "bucket"), "placed")
     asked = rows.filter("asks")
     blocks = packed(asked.dropDuplicates(["vec_id", "ints"]).repartitionByRange(max(1, parts // 16), F.desc("norm"), "vec_id"), BLOCK, "block", kind)
-    blocks = cut(blocks.select("block", F.col("dim").alias("q_dim"), F.col("ids").alias("q_ids"), F.col("matrix").alias("q_matrix")), "blocks")
+    blocks = cut(blocks.select("block", F.col("dim").alias("q_dim"), F.col("ids").alias("q_ids"), F.col("matrix").alias("q_matrix"), F.col("longest").alias("q_longest")), "blocks")
 
     def first(frames):
         for frame in frames:
             for r in frame.itertuples():
-                q_ids, query = np.frombuffer(r.q_ids, np.int64), np.frombuffer(r.q_matrix, kind).reshape(-1, r.q_dim)
-                ids, matrix = np.frombuffer(r.ids, np.int64), np.frombuffer(r.matrix, kind).reshape(-1, r.q_dim)
+                q_ids, query = np.frombuffer(r.q_ids, np.int64), np.frombuffer(r.q_matrix, kind).reshape(len(r.q_ids) // 8, r.q_dim)
+                ids, matrix = np.frombuffer(r.ids, np.int64), np.frombuffer(r.matrix, kind).reshape(len(r.ids) // 8, r.q_dim)
                 _, least = _compare(q_ids, query, exact, [(r.longest, ids, matrix)], np.full(len(q_ids), -np.inf), k)
-                yield pd.DataFrame({"block": [r.block], "least": [least.tobytes()]})
+                yield pd.DataFrame({"block": [r.block], "least": [least.tobytes()], "low": [float(least.min())]})
 
     # thresholds: the k-th best of the bucket of the longest vectors
     top = blocks.join(buckets.filter("place = 0"), F.col("q_dim") == F.col("dim"))
-    least = cut(top.select("block", "q_ids", "q_matrix", "q_dim", "longest", "ids", "matrix").mapInPandas(first, "block long, least binary"), "least")
+    least = cut(top.select("block", "q_ids", "q_matrix", "q_dim", "longest", "ids", "matrix").mapInPandas(first, "block long, least binary, low double"), "least")
     spans = buckets.groupBy("dim").agg(F.max("place").alias("last"))
     tasks = blocks.select("block", F.col("q_dim").alias("dim")).join(spans, "dim").withColumn(
         "place", F.explode(F.expr("sequence(0, last)"))).withColumn("span", F.floor(F.col("place") / SPAN))
+    # a bucket too short for the least demanding query of a block never moves
+    reach = F.col("longest") * F.col("q_longest") * (1 + 1e-9) >= F.col("low")
+    tasks = tasks.join(least.select("block", "low"), "block").join(blocks.select("block", "q_longest"), "block").join(
+        buckets.select("dim", "place", "longest"), ["dim", "place"]).filter(reach)
     tasks = cut(tasks.select("block", "dim", "place", "span"), "tasks")
     work = tasks.join(buckets, ["dim", "place"]).select(
         F.col("block").alias("b"), F.col("span").alias("s"), F.col("place").alias("at"), "longest", "ids", "matrix")
@@ -161,9 +166,9 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 20, scale: int = SCALE,
             return pd.DataFrame({"query_id": [], "row": [], "vec_id": [], "score": []})
         q_ids = np.frombuffer(head.q_ids, np.int64)
         dim = int(head.q_dim)
-        query = np.frombuffer(head.q_matrix, kind).reshape(-1, dim)
+        query = np.frombuffer(head.q_matrix, kind).reshape(len(q_ids), dim)
         found = found.sort_values("at")
-        buckets = ((r.longest, np.frombuffer(r.ids, np.int64), np.frombuffer(r.matrix, kind).reshape(-1, dim)) for r in found.itertuples())
+        buckets = ((r.longest, np.frombuffer(r.ids, np.int64), np.frombuffer(r.matrix, kind).reshape(len(r.ids) // 8, dim)) for r in found.itertuples())
         best, _ = _compare(q_ids, query, exact, buckets, np.frombuffer(head.least, float), k)
         size = [len(b[0]) for b in best]
         return pd.DataFrame({

@@ -134,3 +134,17 @@ def test_top_k_prunes_exactly():
         least = share * q_norm * longest
         keep = topk._pruned(query, q_norm, least, bucket, longest)
         assert not ((bucket[~keep] @ query.T) >= least).any()
+
+
+def test_top_k_of_empty_other_and_repeated_vectors(spark):
+    """Empty vectors have products of 0 with each other, other dimensions none; a repeated row is a candidate of its own."""
+    rows = [(100, []), (101, []), (120, []), (140, [1.0, 2.0]), (141, [3.0, 1.0]), (160, [1.0] * 5), (141, [3.0, 1.0])]
+    rows += [(200 + i, [100.0 / (i + 1), 0.5]) for i in range(60)]  # lengths that prune
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    out = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in topk.top_k(vectors, F.col("vec_id") % 20 == 0).collect())
+    ints = [(i, [int((64 * x) // 1) for x in v]) for i, v in rows]
+    want = []
+    for q, v in sorted({(i, tuple(v)) for i, v in ints if i % 20 == 0}):
+        best = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in ints if i != q and len(w) == len(v))[:20]
+        want += [(q, n, i, -s) for n, (s, i) in enumerate(best, 1)]
+    assert out == sorted(want)
