@@ -25,7 +25,7 @@ from ..sources.weather import to_grid
 from ..learning import evaluate, models
 from ..learning.scorers import RatioScorer, linear_scorer
 from ..session import cut_lineage, work_dir
-from ..streaming import boot, dayclose, intake, replay
+from ..streaming import boot, dayclose, delivery, intake, replay
 from . import views
 from .canonical import build_dataset, model_power, with_clearsky
 from .diagnose import Diagnosis, day_table, diagnose, event_table, flagged_days
@@ -651,6 +651,30 @@ def stream_boot(spark, sf):
     return closed.select("site_id", "local_date", r("pi"), r("coverage"), "history_days")
 
 
+def prediction_delivery(spark, sf):
+    """Days labelled by coverage, landed in three parts with a third of them twice and
+    delivered by a stream; the first batch is retried after it has ended."""
+    sites = cut_lineage(views.geometry_sites(spark, sf), "sites")
+    daily, _ = _daily(spark, sf)
+    label = F.when(F.col("coverage") >= 0.8, F.lit("healthy")).otherwise(F.lit("data_gap"))
+    n = F.datediff("local_date", F.lit("1995-01-01").cast("date"))
+    days = cut_lineage(daily.select(
+        "site_id", "local_date", label.alias("label"), F.round("coverage", 4).alias("confidence"), "pi",
+        F.lit(None).cast("double").alias("pi_baseline"), "coverage", "actual_kwh", "expected_kwh", "rain_mm", "snow_cm",
+        n.cast("int").alias("history_days"), F.lit("coverage").alias("model_version")), "closed")
+    path = work_dir(spark, "delivery")
+    for part in range(3):
+        days.where((n % 3 == part) | (n % 3 == 0)).coalesce(1).write.mode("append").parquet(f"{path}/closed")
+    stream = spark.readStream.schema(dayclose.CLOSED).option("maxFilesPerTrigger", 1).parquet(f"{path}/closed")
+    delivery.start_delivery(stream, sites, path, availableNow=True).awaitTermination()
+    first = delivery.delivered(spark, path).where("batch_id = 0").select("site_id", "local_date")
+    delivery.deliver(days.join(first, ["site_id", "local_date"], "left_semi"), 0, sites, path)
+    body = F.from_json("value", "timestamp long, s struct<faultClass: string>, meta struct<confidence: double, history_days: int>")
+    return delivery.delivered(spark, path).withColumn("b", body).select(
+        "site_id", "local_date", F.col("b.timestamp").alias("stamp"), F.col("b.s.faultClass").alias("label"),
+        F.col("b.meta.confidence").alias("confidence"), F.col("b.meta.history_days").alias("history_days"))
+
+
 QUERIES: dict[str, Query] = {
     "sentinel_mask": sentinel_mask,
     "channel_last_value": channel_last_value,
@@ -721,4 +745,5 @@ QUERIES: dict[str, Query] = {
     "stream_day_close": stream_day_close,
     "stream_replay_diff": stream_replay_diff,
     "stream_boot": stream_boot,
+    "prediction_delivery": prediction_delivery,
 }

@@ -665,6 +665,10 @@ def oracle_sql() -> dict[str, str]:
               UNION ALL SELECT site_id, 'poa above clear ceiling', count(CASE WHEN poa_ceiling THEN 1 END) FROM judged GROUP BY site_id
               UNION ALL SELECT site_id, 'temp out of range', count(CASE WHEN temp_range THEN 1 END) FROM judged GROUP BY site_id)
             WHERE n > 0"""),
+        "prediction_delivery": q(DAILY, """
+            SELECT site_id, d AS local_date, CAST(epoch(CAST(d + 1 AS TIMESTAMP)) AS BIGINT) AS stamp,
+              CASE WHEN coverage >= 0.8 THEN 'healthy' ELSE 'data_gap' END AS label, round(coverage, 4) AS confidence,
+              CAST(date_diff('day', DATE '1995-01-01', d) AS INTEGER) AS history_days FROM daily"""),
         "stream_boot": q(STREAMED, """
             SELECT site_id, d AS local_date, round(CASE WHEN coverage >= 0.8 AND be > 0 THEN ba / be END, 6) AS pi,
               round(coverage, 6) AS coverage, CAST(date_diff('day', lo, d) AS INTEGER) AS history_days FROM streamed"""),
