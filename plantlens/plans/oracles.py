@@ -477,6 +477,19 @@ def oracle_sql() -> dict[str, str]:
                    round(rain / 4, 6) AS rain_model
             FROM sp LEFT JOIN wx ON wx.site_id = sp.site_id AND wx.hr =
               date_trunc('hour', sp.t) + CASE WHEN sp.t = date_trunc('hour', sp.t) THEN INTERVAL 0 HOUR ELSE INTERVAL 1 HOUR END"""),
+        # summer time of these years: first Sunday of April to last Sunday of October, at 2:00
+        "localized_stamps": """
+            WITH t AS (
+              SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS d, l_orderkey % 4 AS h,
+                make_date(year(l_shipdate), 4, 1) AS april, make_date(year(l_shipdate), 10, 31) AS october FROM lineitem),
+            u AS (
+              SELECT *, april + CAST((7 - dayofweek(april)) % 7 AS INTEGER) AS forth,
+                october - CAST(dayofweek(october) AS INTEGER) AS back,
+                CAST(epoch(CAST(d AS TIMESTAMP)) AS BIGINT) + h * 3600 + 1800 AS wall FROM t)
+            SELECT l_orderkey, l_linenumber, CAST(CASE WHEN d = back AND h = 1 THEN NULL
+                WHEN d = forth AND h = 2 THEN wall - 1800 + 8 * 3600
+                WHEN (d > forth AND d < back) OR (d = forth AND h > 2) OR (d = back AND h < 1) THEN wall + 7 * 3600
+                ELSE wall + 8 * 3600 END AS BIGINT) AS epoch FROM u""",
         "expected_power": q(PLANT, """,
             x AS (SELECT site_id, d, h, clear / 0.092::DOUBLE - 20 AS g FROM plant)
             SELECT site_id, d AS local_date, CAST(h AS BIGINT) AS hour,
