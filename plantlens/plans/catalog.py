@@ -651,6 +651,29 @@ def stream_boot(spark, sf):
     return closed.select("site_id", "local_date", r("pi"), r("coverage"), "history_days")
 
 
+def _posted(spark, sf):
+    """Where a stream has sorted the posted lines, file by file."""
+    path = work_dir(spark, "intake")
+    lines = views.datum_lines(spark, sf)
+    for part in range(3):
+        lines.where(F.col("seq") % 3 == part).select("value").coalesce(1).write.mode("append").text(f"{path}/posted")
+    stream = intake.read_lines(spark, f"{path}/posted", files_per_trigger=1)
+    intake.start_intake(stream, "view", path, availableNow=True).awaitTermination()
+    return path
+
+
+def stream_rejects(spark, sf):
+    """Rejected lines that a stream has kept apart, by the source they name."""
+    rows = intake.judged_rows(spark, _posted(spark, sf)).where(F.col("status") == intake.REJECTED)
+    return rows.groupBy("source_id").agg(F.count("value").alias("n"))
+
+
+def stream_counts(spark, sf):
+    """Counters of all micro-batches."""
+    counts = intake.batch_counts(spark, _posted(spark, sf))
+    return counts.agg(*[F.sum(c).alias(c) for c in ("accepted", "rejected", "stored")], F.count("*").alias("batches"))
+
+
 def prediction_delivery(spark, sf):
     """Days labelled by coverage, landed in three parts with a third of them twice and
     delivered by a stream; the first batch is retried after it has ended."""
@@ -746,4 +769,6 @@ QUERIES: dict[str, Query] = {
     "stream_replay_diff": stream_replay_diff,
     "stream_boot": stream_boot,
     "prediction_delivery": prediction_delivery,
+    "stream_rejects": stream_rejects,
+    "stream_counts": stream_counts,
 }

@@ -659,6 +659,12 @@ def oracle_sql() -> dict[str, str]:
         "datum_status": q(DATUMS, """
             SELECT status, count(*) AS n FROM (SELECT CASE WHEN k % 10 IN (0, 1, 2) THEN 'rejected' WHEN src <> 'view' THEN 'ignored'
               WHEN k % 10 = 3 THEN 'rejected' ELSE 'stored' END AS status FROM datum) GROUP BY ALL"""),
+        "stream_rejects": q(DATUMS, """
+            SELECT src AS source_id, count(*) AS n FROM datum WHERE k % 10 IN (0, 1, 2) OR (k % 10 = 3 AND src = 'view') GROUP BY src"""),
+        "stream_counts": q(DATUMS, """,
+            s AS (SELECT k % 10 IN (0, 1, 2) OR (k % 10 = 3 AND src = 'view') AS bad, src FROM datum)
+            SELECT count(CASE WHEN NOT bad THEN 1 END) AS accepted, count(CASE WHEN bad THEN 1 END) AS rejected,
+              count(CASE WHEN NOT bad AND src = 'view' THEN 1 END) AS stored, CAST(3 AS BIGINT) AS batches FROM s"""),
         "datum_upsert": q(DATUMS, """
             SELECT node, b AS bucket, max_by(value, event_id) AS watts FROM (
               SELECT *, tsec - tsec % 3600 AS b FROM datum WHERE src = 'view' AND k % 10 > 3) GROUP BY ALL"""),
