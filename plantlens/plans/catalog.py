@@ -19,9 +19,9 @@ from ..operators.shape import day_shape
 from ..operators.trailing import trailing_context
 from ..schema import TRAINING_COLUMNS
 from ..sites import CHANNEL, channel_map
-from ..sources import lake as lake_src, tables
+from ..sources import lake as lake_src, tables, widecsv
 from ..sources.lake import melt
-from ..sources.weather import to_grid
+from ..sources.weather import load_hourly, to_grid
 from ..learning import evaluate, models
 from ..learning.scorers import RatioScorer, linear_scorer
 from ..session import cut_lineage, work_dir
@@ -132,6 +132,29 @@ def lake_canonical(spark, sf):
     )
 
 
+def csv_plants(spark, sf):
+    """Canonical frame of a fleet's yearly wide CSVs, one scan for each of their headers."""
+    plants = views.land_plant_csvs(spark, sf, work_dir(spark, "csv"))
+    df = widecsv.load_plants(spark, plants, views.plant_sites(spark, sf))
+    return df.select("site_id", stamp("ts_utc"), r("ac_power_kw"), r("temp_c"))
+
+
+def csv_inverters(spark, sf):
+    """Inverter readings of a fleet's yearly wide CSVs in both vintages' layouts."""
+    plants = views.land_inverter_csvs(spark, sf, work_dir(spark, "csv"))
+    df = widecsv.load_inverters(spark, plants, views.plant_sites(spark, sf))
+    return df.select("site_id", stamp("ts_utc"), "inverter", r("kw"))
+
+
+def csv_lake(spark, sf):
+    """Wide yearly CSVs as a long lake: readings by channel and year."""
+    path = work_dir(spark, "csv")
+    manifest = lake_src.convert_csv_lake(spark, views.land_channel_csvs(spark, sf, f"{path}/wide"), f"{path}/lake")
+    long = spark.read.schema("measured_on timestamp_ntz, metric_id int, value double, year int").parquet(f"{path}/lake")
+    return long.join(manifest, "metric_id").groupBy("name", "metric_id", "year").agg(
+        F.count("*").alias("n"), F.round(F.sum("value"), 3).alias("total"))
+
+
 def hour_to_grid(spark, sf):
     raw = views.raw_interval(spark, sf).withColumn("value", mask_sentinels(F.col("value")))
     hourly = (
@@ -706,6 +729,9 @@ QUERIES: dict[str, Query] = {
     "resample_left_closed": _resample("left"),
     "dedupe_precedence": dedupe_precedence,
     "lake_canonical": lake_canonical,
+    "csv_plants": csv_plants,
+    "csv_inverters": csv_inverters,
+    "csv_lake": csv_lake,
     "hour_to_grid": hour_to_grid,
     "localized_stamps": localized_stamps,
     "expected_power": expected_power,

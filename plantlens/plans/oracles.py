@@ -466,6 +466,26 @@ def oracle_sql() -> dict[str, str]:
               round(max(CASE WHEN metric_id = 3 THEN v END), 6) AS poa_wm2,
               round(max(CASE WHEN metric_id = 4 THEN v END), 6) AS temp_c
             FROM sp LEFT JOIN conv c ON c.site_id = sp.site_id AND c.lab = sp.lab GROUP BY ALL"""),
+        "csv_plants": q(PLANT, """,
+            m AS (SELECT site_id, d + h * INTERVAL 1 HOUR AS t, temp,
+              CASE WHEN no % 2 = 0 AND date_diff('day', DATE '1995-01-01', d) % 5 = 0 THEN ac + 1 ELSE ac END AS ac FROM plant),
+            sp AS (
+              SELECT site_id, unnest(generate_series(min(t), max(t), INTERVAL 1 HOUR)) AS t FROM m GROUP BY site_id)
+            SELECT sp.site_id, strftime(sp.t, '%Y-%m-%d %H:%M:%S') AS label, round(ac, 6) AS ac_power_kw,
+              round(temp + 5.0::DOUBLE / 9, 6) AS temp_c
+            FROM sp LEFT JOIN m ON m.site_id = sp.site_id AND m.t = sp.t"""),
+        "csv_inverters": q(PLANT, """
+            SELECT site_id, strftime(d + h * INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS label, 'inv_0' || k AS inverter,
+              round(ac / 4.0 * (1 + 0.02::DOUBLE * k) * CASE WHEN p BETWEEN 20 AND 25 AND k = 3 THEN 0.2::DOUBLE
+                WHEN p BETWEEN 70 AND 74 AND k = 1 THEN 0.7::DOUBLE WHEN p BETWEEN 12 AND 14 AND k = 2 THEN 0.5::DOUBLE
+                ELSE 1.0::DOUBLE END, 6) AS kw
+            FROM plant CROSS JOIN range(1, 5) t(k) WHERE NOT (no % 2 = 0 AND year(d) = 1996 AND k = 4)"""),
+        "csv_lake": q(PLANT, """,
+            long AS (
+              SELECT d, 'meter' AS name, 1 AS metric_id, ac AS v FROM plant UNION ALL SELECT d, 'temp', 3, temp FROM plant
+              UNION ALL SELECT d, 'rain', 2, rain FROM plant WHERE year(d) >= 1995)
+            SELECT name, CAST(metric_id AS INTEGER) AS metric_id, CAST(year(d) AS INTEGER) AS year, count(*) AS n,
+              round(sum(v), 3) AS total FROM long WHERE v IS NOT NULL GROUP BY ALL"""),
         "hour_to_grid": q(LAKE, """,
             wx AS (
               SELECT site_id, date_trunc('hour', ts) + INTERVAL 1 HOUR AS hr, avg(value) AS poa_model, sum(k) * 0.1::DOUBLE AS rain

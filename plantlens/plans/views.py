@@ -10,6 +10,7 @@ raw channel lake and a datum feed. The number of plants grows with the tables.
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,8 @@ from pyspark.sql import functions as F
 from ..schema import INTERVAL, conform
 from ..sites import with_defaults
 from ..sources.datums import as_datums
+from ..sources.headers import find_files
+from ..sources.widecsv import File, PlantFiles, StreamSpec
 
 SUPPLIERS_PER_PLANT = 20
 USERS_PER_PLANT = 75
@@ -279,3 +282,94 @@ def posted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Plant meters as the JSON lines the plants' nodes would post."""
     datums = as_datums(meter_only(spark, sf_dir), geometry_sites(spark, sf_dir), "Solar")
     return datums.select(F.to_json(F.struct("nodeId", "sourceId", "timestamp", "i")).alias("value"))
+
+
+def _land_csv(df: DataFrame, path: str) -> None:
+    """One file with a header for each plant and year."""
+    df = df.withColumns({"plant": F.col("site_id"), "year": F.year("ts_utc")}).drop("site_id", "ts_utc")
+    df.repartition("plant", "year").write.partitionBy("plant", "year").csv(path, header=True)
+
+
+def _landed(spark: SparkSession, root: str) -> dict[str, dict[str, list[str]]]:
+    """Files below ``root`` by plant and kind, oldest year first."""
+    out: dict[str, dict[str, list[str]]] = {}
+    for path in find_files(spark, root):
+        kind, plant = re.search(r"/(\w+)/plant=([^/]+)/", path).groups()
+        out.setdefault(plant, {}).setdefault(kind, []).append(path)
+    return out
+
+
+def land_plant_csvs(spark: SparkSession, sf_dir: str, root: str) -> list[PlantFiles]:
+    """Yearly meter files in two layouts, a later vintage of every fifth day that
+    reads one kW more, and half-hourly Fahrenheit on the UTC clock."""
+    c = F.col
+    df = plant_interval(spark, sf_dir).withColumn("odd", F.substring("site_id", 2, 20).cast("int") % 2 == 1)
+    text = lambda t: F.date_format(t, "yyyy-MM-dd HH:mm:ss")
+    naive = text(c("ts_utc")).alias("measured_on")
+    keys = ["site_id", "ts_utc"]
+    _land_csv(df.where(~c("odd")).select(*keys, naive, c("ac_power_kw").alias("power")), f"{root}/meter")
+    _land_csv(df.where("odd").select(*keys, naive, F.lit("x").alias("flag"), c("ac_power_kw").alias("site_power")),
+              f"{root}/site_meter")
+    fifth = F.datediff("local_date", F.lit("1995-01-01").cast("date")) % 5 == 0
+    _land_csv(df.where(fifth & ~c("odd")).select(*keys, naive, (c("ac_power_kw") + 1).alias("power")), f"{root}/corrected")
+    back = F.explode(F.array(F.lit(0), F.lit(20)))
+    warm = df.withColumn("back", back).select(
+        *keys, text(c("ts_utc") - F.make_dt_interval(mins=c("back"))).alias("utc_measured_on"),
+        (c("temp_c") * 9 / 5 + 32 + c("back") / 10).alias("temp_f"))
+    _land_csv(warm, f"{root}/temperature")
+    plants = []
+    for plant, kinds in _landed(spark, root).items():
+        if "meter" in kinds:
+            meter = StreamSpec([*kinds["meter"], *kinds.get("corrected", [])], "power")
+        else:
+            meter = StreamSpec(kinds["site_meter"], "site_power")
+        warm = [File(f, "utc_measured_on", "UTC") for f in kinds["temperature"]]
+        plants.append(PlantFiles(plant, meter, temperature=StreamSpec(warm, "temp_f", resample=True, fahrenheit=True)))
+    return plants
+
+
+def land_inverter_csvs(spark: SparkSession, sf_dir: str, root: str) -> list[PlantFiles]:
+    """Yearly inverter files in both vintages' layouts; those of 1996 of every second
+    plant come again, without the fourth inverter."""
+    rows = plant_inverters(spark, sf_dir).withColumn("odd", F.substring("site_id", 2, 20).cast("int") % 2 == 1)
+    wide = rows.groupBy("site_id", "ts_utc", "odd").pivot("inverter", [f"inv_{k:02d}" for k in range(1, 5)]).agg(F.max("kw"))
+    naive = F.date_format("ts_utc", "yyyy-MM-dd HH:mm:ss").alias("measured_on")
+    keys = ["site_id", "ts_utc", naive]
+    old = [F.col(f"inv_{k:02d}").alias(f"inv_{k:02d}_ac_power_inv_{k}") for k in range(1, 5)]
+    new = [F.col(f"inv_{k:02d}").alias(f"inverter_{k}_ac_power_(kw)_inv_{k}") for k in range(1, 5)]
+    _land_csv(wide.where(~F.col("odd")).select(*keys, *old, F.lit("1").alias("other")), f"{root}/old")
+    _land_csv(wide.where("odd").select(*keys, *new), f"{root}/new")
+    _land_csv(wide.where(~F.col("odd") & (F.year("ts_utc") == 1996)).select(*keys, *new[:3]), f"{root}/again")
+    meter = StreamSpec([], "")
+    return [
+        PlantFiles(plant, meter, inverters=[*kinds.get("old", []), *kinds.get("new", []), *kinds.get("again", [])])
+        for plant, kinds in _landed(spark, root).items()
+    ]
+
+
+def land_channel_csvs(spark: SparkSession, sf_dir: str, root: str) -> list[str]:
+    """Wide yearly CSVs of channels, rain among them from 1995 on."""
+    c = F.col
+    df = plant_interval(spark, sf_dir)
+    naive = F.date_format("ts_utc", "yyyy-MM-dd HH:mm:ss").alias("measured_on")
+    base = ["site_id", "ts_utc", naive, c("ac_power_kw").alias("meter"), c("temp_c").alias("temp")]
+    early = F.year("ts_utc") < 1995
+    _land_csv(df.where(early).select(*base), f"{root}/dry")
+    _land_csv(df.where(~early).select(*base, c("rain_mm").alias("rain")), f"{root}/wet")
+    return find_files(spark, root)
+
+
+def land_weather(hourly: DataFrame, path: str) -> None:
+    """Hourly weather as landed payloads, one file for each plant and year."""
+    c = F.col
+    hour = F.struct(
+        F.date_format("hour_utc", "yyyy-MM-dd HH:mm:ss").alias("time"), c("poa_model").alias("poa"),
+        c("temp_model").alias("temp"), c("rain_model").alias("rain"), c("snow_model").alias("snow"))
+    years = hourly.groupBy("site_id", F.trunc(F.to_date("hour_utc"), "year").alias("since")).agg(
+        F.sort_array(F.collect_list(hour)).alias("h"))
+    series = F.struct(
+        c("h.time").alias("time"), c("h.poa").alias("global_tilted_irradiance"), c("h.temp").alias("temperature_2m"),
+        c("h.rain").alias("precipitation"), c("h.snow").alias("snowfall"))
+    body = F.to_json(F.struct("site_id", series.alias("hourly")), {"ignoreNullFields": "false"})
+    years.select(body.alias("value"), c("site_id").alias("plant"), "since").write.mode("append").partitionBy(
+        "plant", "since").text(path)

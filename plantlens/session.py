@@ -8,6 +8,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Where a session without ``spark.checkpoint.dir``, which is fixed at start, keeps its local folder.
+LOCAL_WORK = "spark.plantlens.localWorkDir"
+
+
 def get_session(app: str = "plantlens", master: str | None = None, **conf) -> SparkSession:
     builder = (
         SparkSession.builder.appName(app)
@@ -30,13 +34,13 @@ def work_dir(spark: SparkSession, name: str) -> str:
     is replaced by a local folder, recorded in the session so that later calls
     share it. On a cluster it is an error.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(LOCAL_WORK, None)
     if not root:
         master = spark.sparkContext.master
         if not (master == "local" or master.startswith("local[")):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="plantlens-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        spark.conf.set(LOCAL_WORK, root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 

@@ -12,6 +12,7 @@ from ..operators.align import (
 )
 from ..operators.daily import clamp_stamps
 from ..schema import CSV_SENTINELS, INTERVAL, INVERTER, LAKE, conform
+from .headers import files_of, header_groups, scan
 
 ORDER = ["_file", "_row"]
 
@@ -163,20 +164,21 @@ def melt(df: DataFrame, stamp: str = "measured_on") -> DataFrame:
 
 
 def convert_csv_lake(spark: SparkSession, files: list[str], dest: str) -> DataFrame:
-    """Yearly wide CSVs -> long parquet by year; returns the manifest (Q6)."""
-    chosen = preferred_files(files)
-    frames = [
-        spark.read.option("enforceSchema", "false").csv(f, header=True) for f in chosen
-    ]
-    names = sorted({c for df in frames for c in df.columns if c != "measured_on"})
+    """Yearly wide CSVs -> long parquet by year; returns the manifest (Q6).
+
+    One scan for each different header, whatever the number of files.
+    """
+    chosen = [f for path in preferred_files(files) for f in files_of(spark, path)]
+    groups = header_groups(spark, chosen)
+    names = sorted({c for header in groups for c in header if c != "measured_on"})
     manifest = channel_manifest(spark.createDataFrame([(n,) for n in names], "name string"))
-    parts = [
-        melt(df.withColumn("measured_on", F.col("measured_on").cast("timestamp_ntz")))
-        for df in frames
-    ]
-    long = parts[0]
-    for part in parts[1:]:
-        long = long.unionByName(part)
+    long = None
+    for header, paths in groups.items():
+        raw = scan(spark, header, paths)
+        part = melt(raw.withColumn("measured_on", F.col("measured_on").cast("timestamp_ntz")))
+        long = part if long is None else long.unionByName(part)
+    if long is None:
+        return manifest
     (
         long.join(F.broadcast(manifest), "name")
         .select(

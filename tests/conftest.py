@@ -10,16 +10,14 @@ os.environ["PYTHONPATH"] = ROOT + os.pathsep + os.environ.get("PYTHONPATH", "")
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
-    spark = (
+def spark():
+    builder = (
         SparkSession.builder.master("local[8]").appName("tests")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "6g")
         .config("spark.ui.enabled", "false")
-        .getOrCreate()
     )
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("work")))
     return spark

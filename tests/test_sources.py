@@ -5,8 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from plantlens.functions.timeparts import localized
-from plantlens.sites import channel_map, read_sites, CONFIG
-from plantlens.sources import datums, lake, tables, weather, widecsv
+from plantlens.sites import channel_map, read_sites, site_dim, CONFIG
+from plantlens.sources import datums, headers, lake, tables, weather, widecsv
 from helpers import interval, site
 
 
@@ -189,3 +189,45 @@ def test_plant_registry(spark):
     sites = read_sites(spark, str(CONFIG))
     assert sites.count() == 33
     assert sites.where("site_id = '2107'").first()["pi_ceiling"] == 0.98
+
+
+def test_one_scan_a_header_for_many_files(spark, tmp_path):
+    """60 plants, 200 files, three headers: three scans; empty files and hidden ones are no matter."""
+    stamp = lambda h: f"2024-06-01 {h:02d}:00:00"
+    plants = []
+    for n in range(60):
+        column = "power" if n % 2 else "kw"
+        a = _csv(tmp_path / f"{n}a.csv", ["measured_on", column], [(stamp(h), n + h) for h in range(1, 4)])
+        b = _csv(tmp_path / f"{n}b.csv", ["measured_on", column], [(stamp(2), -n)])
+        t = _csv(tmp_path / f"{n}t.csv", ["measured_on", "note", "temp"], [(stamp(1), '"a,b"', 20.5)])
+        plants.append(widecsv.PlantFiles(
+            f"p{n}", widecsv.StreamSpec([a, b], column, keep="first" if n % 3 else "last"),
+            temperature=widecsv.StreamSpec([t], "temp")))
+    for n in range(20):
+        (tmp_path / f"empty{n}.csv").write_text("")
+    empty = [str(tmp_path / f"empty{n}.csv") for n in range(20)]
+    plants.append(widecsv.PlantFiles("none", widecsv.StreamSpec(empty, "power")))
+    sites = site_dim(spark, [{"site_id": p.site_id, "tz": "UTC", "interval_min": 60} for p in plants])
+    out = widecsv.load_plants(spark, plants, sites)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan csv") == 3
+    got = {(r["site_id"], r["local_ts"].hour): (r["ac_power_kw"], r["temp_c"]) for r in out.collect()}
+    assert len(got) == 180
+    for n in range(60):
+        assert got[f"p{n}", 1] == (n + 1.0, 20.5)
+        assert got[f"p{n}", 2] == (n + 2.0 if n % 3 else -float(n), None)
+    assert len(headers.find_files(spark, str(tmp_path))) == 180  # empty ones have nothing to read
+
+
+def test_headers_that_lack_or_repeat_a_column(spark, tmp_path):
+    a = _csv(tmp_path / "a.csv", ["measured_on", "x", "X", ""], [("2024-06-01 01:00:00", 1, 2, 3)])
+    assert list(headers.header_groups(spark, headers.files_of(spark, a))) == [("measured_on", "x", "X#2", "#3")]
+    sites = site(spark)
+    with pytest.raises(ValueError, match="no column power"):
+        widecsv.load_stream(spark, "s", widecsv.StreamSpec([a], "power"), "ac_power_kw", sites)
+    assert widecsv.load_plants(spark, [], sites).count() == 0
+    assert widecsv.load_inverters(spark, [], sites).count() == 0
+    # a file of two streams, and a folder as a file
+    both = widecsv.PlantFiles("s", widecsv.StreamSpec([str(tmp_path)], "x"), widecsv.StreamSpec([a], "X#2"))
+    row = widecsv.load_plant(spark, both, sites).first()
+    assert (row["ac_power_kw"], row["poa_wm2"], row["temp_c"]) == (1.0, 2.0, None)
