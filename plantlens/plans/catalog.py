@@ -21,7 +21,7 @@ from ..schema import TRAINING_COLUMNS
 from ..sites import CHANNEL, channel_map
 from ..sources import lake as lake_src, tables, widecsv
 from ..sources.lake import melt
-from ..sources.weather import load_hourly, to_grid
+from ..sources.weather import landed, to_grid
 from ..learning import evaluate, models
 from ..learning.scorers import RatioScorer, linear_scorer
 from ..session import cut_lineage, work_dir
@@ -674,6 +674,37 @@ def stream_boot(spark, sf):
     return closed.select("site_id", "local_date", r("pi"), r("coverage"), "history_days")
 
 
+def stream_replay_chunks(spark, sf):
+    """A history posted in chunks, some readings again and some wrong and late, closed chunk by chunk."""
+    sites = cut_lineage(views.geometry_sites(spark, sf), "sites")
+    closed = replay.replay(
+        spark, views.posted_again(spark, sf), sites, RatioScorer(), work_dir(spark, "replay"), "Solar",
+        views.CHUNK, hourly=views.plant_weather(spark, sf))
+    return closed.select("site_id", "local_date", r("pi"), r("coverage"), "history_days")
+
+
+def stream_late_weather(spark, sf):
+    """Weather that lands in two parts, the second after the stream has closed half of
+    the days; what it says of those days is ignored."""
+    sites = cut_lineage(views.geometry_sites(spark, sf), "sites")
+    path = work_dir(spark, "late")
+    hourly = cut_lineage(views.plant_weather(spark, sf), "weather")
+    hour = F.unix_timestamp("hour_utc")
+    judged = cut_lineage(intake.judge(views.posted_lines(spark, sf).withColumn("seq", F.lit("")), "Solar"), "judged")
+    live = lambda: intake.accepted_power(intake.judge(intake.read_lines(spark, f"{path}/posted"), "Solar"))
+    day = 86400
+    weather = landed(spark, f"{path}/weather")
+    views.land_weather(hourly.where(hour < views.BOOT_AT - day), f"{path}/weather")
+    judged.where(F.col("ts") < views.BOOT_AT).select("value").write.mode("append").text(f"{path}/posted")
+    dayclose.run_available(spark, live(), sites, RatioScorer(), path, weather, hold_days=2)
+    views.land_weather(hourly.where(hour >= views.BOOT_AT - day), f"{path}/weather")
+    changed = hourly.where(hour < views.BOOT_AT - 10 * day).withColumn("poa_model", F.col("poa_model") * 2 + 50)
+    views.land_weather(changed, f"{path}/weather")
+    judged.where(F.col("ts") >= views.BOOT_AT).select("value").write.mode("append").text(f"{path}/posted")
+    closed = dayclose.run_available(spark, live(), sites, RatioScorer(), path, weather, hold_days=2)
+    return closed.select("site_id", "local_date", r("pi"), r("coverage"), "history_days")
+
+
 def _posted(spark, sf):
     """Where a stream has sorted the posted lines, file by file."""
     path = work_dir(spark, "intake")
@@ -794,6 +825,8 @@ QUERIES: dict[str, Query] = {
     "stream_day_close": stream_day_close,
     "stream_replay_diff": stream_replay_diff,
     "stream_boot": stream_boot,
+    "stream_replay_chunks": stream_replay_chunks,
+    "stream_late_weather": stream_late_weather,
     "prediction_delivery": prediction_delivery,
     "stream_rejects": stream_rejects,
     "stream_counts": stream_counts,

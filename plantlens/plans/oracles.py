@@ -379,6 +379,10 @@ streamed AS (
     sum(CASE WHEN ex IS NOT NULL THEN ac END) AS ba, sum(CASE WHEN ac IS NOT NULL THEN ex END) AS be
   FROM seen GROUP BY site_id, lo, d)"""
 
+_CLOSED = """
+SELECT site_id, d AS local_date, round(CASE WHEN coverage >= 0.8 AND be > 0 THEN ba / be END, 6) AS pi,
+  round(coverage, 6) AS coverage, CAST(date_diff('day', lo, d) AS INTEGER) AS history_days FROM streamed"""
+
 DATUMS = """
 datum AS (
   SELECT user_id % 4 AS node, event_type AS src, event_id, CAST(floor(epoch(ts)) AS BIGINT) AS tsec, value,
@@ -708,9 +712,9 @@ def oracle_sql() -> dict[str, str]:
             SELECT site_id, d AS local_date, CAST(epoch(CAST(d + 1 AS TIMESTAMP)) AS BIGINT) AS stamp,
               CASE WHEN coverage >= 0.8 THEN 'healthy' ELSE 'data_gap' END AS label, round(coverage, 4) AS confidence,
               CAST(date_diff('day', DATE '1995-01-01', d) AS INTEGER) AS history_days FROM daily"""),
-        "stream_boot": q(STREAMED, """
-            SELECT site_id, d AS local_date, round(CASE WHEN coverage >= 0.8 AND be > 0 THEN ba / be END, 6) AS pi,
-              round(coverage, 6) AS coverage, CAST(date_diff('day', lo, d) AS INTEGER) AS history_days FROM streamed"""),
+        "stream_boot": q(STREAMED, _CLOSED),
+        "stream_replay_chunks": q(STREAMED, _CLOSED),
+        "stream_late_weather": q(STREAMED, _CLOSED + " QUALIFY d <= max(d) OVER (PARTITION BY site_id) - 2"),
         "pending_days": q(DATUMS, """,
             lab AS (SELECT node, CAST(make_timestamp((tsec + 3600) * 1000000) AS DATE) AS d FROM datum WHERE src = 'view'),
             sp AS (SELECT node, CAST(unnest(generate_series(min(d), max(d) - 1, INTERVAL 1 DAY)) AS DATE) AS d FROM lab GROUP BY node),

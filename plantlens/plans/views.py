@@ -25,6 +25,8 @@ SUPPLIERS_PER_PLANT = 20
 USERS_PER_PLANT = 75
 #: Noon of the day in the middle of the plants' calendar, 1998-04-01, in unix seconds.
 BOOT_AT = 891432000
+#: Stream time of a replayed chunk, 720 days.
+CHUNK = 720 * 86400
 CHANNELS = ["click", "error", "purchase", "signup", "view"]
 
 
@@ -284,6 +286,20 @@ def posted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return datums.select(F.to_json(F.struct("nodeId", "sourceId", "timestamp", "i")).alias("value"))
 
 
+def posted_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plant meters as lines posted at their time (``at``), those of a chunk's last
+    quarter again a chunk later, and wrong ones, a chunk late, for its first half."""
+    datums = as_datums(meter_only(spark, sf_dir), geometry_sites(spark, sf_dir), "Solar")
+    ts, n = F.col("timestamp"), F.pmod(F.col("timestamp"), F.lit(CHUNK))
+    wrong = F.struct(F.lit(9e9).alias("watts"))
+    again = F.when(n >= CHUNK * 3 / 4, F.array(F.lit(0), F.lit(1))).when(n < CHUNK / 2, F.array(F.lit(0), F.lit(2))).otherwise(
+        F.array(F.lit(0)))
+    rows = datums.withColumn("k", F.explode(again)).withColumn("i", F.when(F.col("k") == 2, wrong).otherwise(F.col("i")))
+    return rows.select(
+        F.to_json(F.struct("nodeId", "sourceId", "timestamp", "i")).alias("value"), F.col("nodeId").alias("node_id"),
+        (ts + F.when(F.col("k") > 0, F.lit(CHUNK)).otherwise(F.lit(0))).alias("at"))
+
+
 def _land_csv(df: DataFrame, path: str) -> None:
     """One file with a header for each plant and year."""
     df = df.withColumns({"plant": F.col("site_id"), "year": F.year("ts_utc")}).drop("site_id", "ts_utc")
