@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import zlib
 
 import numpy as np
@@ -40,27 +41,33 @@ class WordEncoder:
     """
 
     MARKS = b".,!?:;%*#&$|\"'()"
+    SUFFIX = "</w>"
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; a pool's threads keep memory of their own
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.last = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)  # ids that end a word
+        self.last[[i for token, i in vocabulary.items() if token.endswith(self.SUFFIX)]] = True
         self.memo = worker_memo(f"words {path}")  # of words, and of the parts that others consist of
 
     def _each(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _letters(self, runs: list[str]) -> list[bytes]:
-        """Runs of letters, joined by blanks: the splitting numbers them."""
+        """Runs of letters, joined by blanks: the last id of each is one that ends a word, and no other is."""
         out: list[bytes] = []
         for at in range(0, len(runs), 2000):
             some = runs[at : at + 2000]
             found = self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0]
-            ids, word = np.array(found.ids, "<u4"), np.array(found.word_ids)
-            if len(word) and word[-1] == len(some) - 1:
-                cuts = np.searchsorted(word, np.arange(len(some) + 1))
-                out += [ids[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+            ids = np.array(found.ids, "<u4")
+            cuts = np.flatnonzero(self.last[ids]) + 1
+            if len(cuts) == len(some) and cuts[-1] == len(ids):
+                data, edges = ids.tobytes(), (4 * np.append(0, cuts)).tolist()
+                out += [data[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
             else:
                 out += self._each(some)
         return out

@@ -172,6 +172,25 @@ def test_packing(spark):
     assert packing.pack(docs.limit(0), queries.tokenizer_path()).count() == 0
 
 
+def test_joined_words_are_encoded_once(monkeypatch):
+    """Runs of letters get their ids from one encoding of all, and a task starts no threads of the tokenizer's."""
+    import os
+
+    from tokenizers import Tokenizer
+
+    monkeypatch.setenv("TOKENIZERS_PARALLELISM", "true")
+    words = packing.WordEncoder(queries.tokenizer_path())
+    assert os.environ["TOKENIZERS_PARALLELISM"] == "false"
+    apart = []
+    each = words._each
+    monkeypatch.setattr(words, "_each", lambda texts: apart.extend(texts) or each(texts))
+    rng = random.Random(5)
+    runs = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyzäéßøñçšž", k=rng.randint(1, 30))) for _ in range(4500)]
+    plain = Tokenizer.from_file(queries.tokenizer_path())
+    assert words._letters(runs) == [np.array(plain.encode(r, add_special_tokens=False).ids, "<u4").tobytes() for r in runs]
+    assert not apart
+
+
 def test_cutting_stock():
     rng = np.random.default_rng(3)
     lengths = np.minimum(2047, rng.lognormal(6.3, 0.9, 5000).astype(int) + 1)
