@@ -15,7 +15,7 @@ from plantlens.llm.common import cut, keyed, lean, sized, worker_memo
 CAPACITY = 2048
 END = 1
 #: Encodings of words kept by a worker, and their greatest length; those met after that are encoded each time.
-CACHED_WORDS, CACHED_LENGTH = 250_000, 48
+CACHED_WORDS, CACHED_LENGTH = 600_000, 48
 #: Words whose new ones are encoded together.
 GROUP_WORDS = 200_000
 #: Documents for each bucket that ranks are counted in.
