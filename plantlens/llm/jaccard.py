@@ -1,14 +1,17 @@
 """Near-duplicate documents by an exact Jaccard join on word shingles.
 
-The global order of shingles is vertically partitioned. Its first fragment of
-each document, the prefix, gives candidates; overlaps are counted for each
-fragment on its own and summed per pair.
+The global order of shingles, rare ones first, is vertically partitioned. Its
+first fragment of each document, the prefix, gives candidates; overlaps are
+counted for each fragment on its own and summed per pair.
 """
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +28,11 @@ FRAGMENTS = 8
 HOT_SHINGLES, HOT_DOCS = 131_072, 16
 #: Shingles that a task counts at once.
 COUNTED = 2_000_000
+#: Shingles are also counted by the first bits of their hash, a byte for each bucket, up to FULL. The size
+#: follows the number of shingles and ends at 64 MB; fuller buckets tell rare shingles less well, and lose no link.
+SKETCH_BITS, FULL = (16, 26), 255
+#: Buckets that travel together.
+CHUNK = 1 << 16
 
 
 def sets_of(batch: pa.RecordBatch):
@@ -33,31 +41,64 @@ def sets_of(batch: pa.RecordBatch):
         yield i, shingles(word_hashes((data or b"").lower()), WIDTH)
 
 
-def frequent_of(docs: DataFrame) -> DataFrame:
-    """(token, count) of the shingles that stand in several documents of one stretch of COUNTED shingles.
+def counts_of(docs: DataFrame, bits: int) -> DataFrame:
+    """Counts of one pass over all texts: rows (token, count), and rows (chunk, counts) of a task's sketch.
 
-    Each task counts its own stretches, so a shingle of more documents than there
-    are stretches is always found, and unique ones never move.
+    The first are the shingles that stand in several documents of one stretch of
+    COUNTED shingles. Each task counts its own stretches, so a shingle of more
+    documents than there are stretches is always found, and unique ones never move.
     """
-
-    def counted(held):
-        token, n = np.unique(np.concatenate(held), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(token[n > 1].view(np.int64)), pa.array(n[n > 1])], names=["token", "count"])
+    schema = pa.schema([("token", pa.int64()), ("count", pa.int64()), ("chunk", pa.int32()), ("counts", pa.binary())])
+
+    def counted(held, sketch):
+        found = np.concatenate(held)
+        held.clear()
+        found.sort()
+        first = np.flatnonzero(np.append(True, found[1:] != found[:-1])[: len(found)])
+        token, n = found[first], np.diff(np.append(first, len(found)))
+        del found
+        if len(token):
+            bucket = token >> np.uint64(64 - bits)
+            first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+            at = bucket[first]
+            sketch[at] = np.minimum(sketch[at] + np.add.reduceat(n, first), FULL)
+        token, n = token[n > 1], n[n > 1]
+        none = pa.nulls(len(token))
+        return pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(n), none.cast(pa.int32()), none.cast(pa.binary())], schema=schema)
 
     def run(batches):
-        held, n = [], 0
+        held, n, sketch = [], 0, np.zeros(1 << bits, np.uint8)
         for batch in batches:
             for _, s in sets_of(batch):
                 held.append(s)
                 n += len(s)
                 if n >= COUNTED:
-                    yield counted(held)
-                    held, n = [], 0
+                    yield counted(held, sketch)
+                    n = 0
         if held:
-            yield counted(held)
+            yield counted(held, sketch)
+        for i, part in enumerate(sketch.reshape(-1, CHUNK)):
+            if part.any():
+                yield pa.RecordBatch.from_pylist([{"chunk": i, "counts": zlib.compress(part, 1)}], schema=schema)
+
+    return docs.select("text").mapInArrow(lean(run), "token long, count long, chunk int, counts binary")
+
+
+def sketch_of(counts: DataFrame, bits: int) -> np.ndarray:
+    """The sum of all tasks' sketches; no shingle stands in more documents than its bucket says, up to FULL."""
+
+    def summed(table: pa.Table) -> pa.Table:
+        total = np.zeros(CHUNK, np.uint8)
+        for data in table.column("counts"):
+            part = np.frombuffer(zlib.decompress(data.as_buffer()), np.uint8)
+            total = total + np.minimum(part, FULL - total)
+        return pa.table({"chunk": table.column("chunk")[:1], "counts": pa.array([total.tobytes()], pa.binary())})
 
-    found = docs.select("text").mapInArrow(lean(run), "token long, count long")
-    return found.groupBy("token").agg(F.sum("count").alias("count"))
+    out = np.zeros(1 << bits, np.uint8)
+    parts = counts.filter("chunk is not null").select("chunk", "counts").groupBy("chunk")
+    for r in parts.applyInArrow(summed, "chunk int, counts binary").toLocalIterator():
+        out[r["chunk"] * CHUNK : (r["chunk"] + 1) * CHUNK] = np.frombuffer(r["counts"], np.uint8)
+    return out
 
 
 def prefix_size(n: int) -> int:
@@ -78,15 +119,18 @@ def meta_of(docs: DataFrame) -> DataFrame:
     return docs.select("key", "text").mapInArrow(lean(run), "key long, n long, h1 long, h2 long")
 
 
-def prefixes_of(docs: DataFrame, hot: np.ndarray) -> DataFrame:
-    """(key, n, share, token, pos): the first fragment of each document, ``hot`` (rarest first) being last in the order.
+def prefixes_of(docs: DataFrame, hot: np.ndarray, sketch: Broadcast) -> DataFrame:
+    """(key, n, share, token, pos): the first fragment of each document, without shingles known to be its alone.
 
-    ``share`` is the thousandths of the document's shingles that are hot.
+    Shingles of lower buckets of the sketch come first, ``hot`` ones (rarest
+    first) last. ``share`` is the thousandths of the document's shingles that are hot.
     """
     order = np.argsort(hot)
     ranked = hot[order]
 
     def run(batches):
+        counts = sketch.value
+        shift = np.uint64(64 - (len(counts).bit_length() - 1))
         for batch in batches:
             keys = batch.column("key").to_numpy()
             key, size, share, token, pos = [], [], [], [], []
@@ -94,19 +138,23 @@ def prefixes_of(docs: DataFrame, hot: np.ndarray) -> DataFrame:
                 if not len(s):
                     continue
                 p = prefix_size(len(s))
+                seen = counts[s >> shift]
+                is_hot = np.zeros(len(s), bool)
                 if len(ranked):
                     at = np.minimum(np.searchsorted(ranked, s), len(ranked) - 1)
                     is_hot = ranked[at] == s
-                    cold = s[~is_hot]
-                    s2 = cold if len(cold) >= p else np.concatenate((cold, hot[np.sort(order[at[is_hot]])]))
-                    part, heat = s2[:p], 1000 * int(is_hot.sum()) // len(s)
-                else:
-                    part, heat = s[:p], 0
-                token.append(part)
-                share.append(np.full(p, heat, np.int32))
-                pos.append(np.arange(p, dtype=np.int32))
-                key.append(np.full(p, keys[i]))
-                size.append(np.full(p, len(s), np.int64))
+                cold = np.flatnonzero(~is_hot)
+                cold = cold[np.argsort(seen[cold], kind="stable")][:p]
+                part, at_part = s[cold], np.flatnonzero(seen[cold] > 1)
+                if len(part) < p:
+                    last = hot[np.sort(order[at[is_hot]])][: p - len(part)]
+                    at_part = np.append(at_part, np.arange(len(part), p))
+                    part = np.append(part, last)
+                token.append(part[at_part])
+                share.append(np.full(len(at_part), 1000 * int(is_hot.sum()) // len(s), np.int32))
+                pos.append(at_part.astype(np.int32))
+                key.append(np.full(len(at_part), keys[i]))
+                size.append(np.full(len(at_part), len(s), np.int64))
             if token:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(key), pa.int64()), pa.array(np.concatenate(size)), pa.array(np.concatenate(share)),
@@ -187,7 +235,7 @@ def pairs_of(rows: DataFrame) -> DataFrame:
 
 
 def linked(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """(node, root): components of more than one class among the documents with ``keys``, one for each class.
+    """(node, root): components of more than one class among the documents with ``keys`` (key, n), one for each class.
 
     A block is the documents that share a prefix shingle. First each is compared
     with its block's leaders, so that a large group of near copies costs one pair
@@ -195,10 +243,16 @@ def linked(docs: DataFrame, keys: DataFrame) -> DataFrame:
     is compared: no link that could join two components is left out.
     """
     reps = docs.join(sized(keys), "key", "left_semi")
-    top = frequent_of(reps).filter(F.col("count") >= HOT_DOCS).orderBy(F.desc("count"), "token").limit(HOT_SHINGLES).collect()
+    shingles = keys.agg(F.sum("n").alias("n")).first()["n"] or 0
+    bits = min(max(shingles.bit_length(), SKETCH_BITS[0]), SKETCH_BITS[1])
+    counts = cut(counts_of(reps, bits), "counts")
+    frequent = counts.filter("token is not null").groupBy("token").agg(F.sum("count").alias("count"))
+    top = frequent.filter(F.col("count") >= HOT_DOCS).orderBy(F.desc("count"), "token").limit(HOT_SHINGLES).collect()
     hot = np.array([r["token"] for r in reversed(top)], np.int64).view(np.uint64)
     # prefix shingles of one document alone lead to no other
-    first = prefixes_of(reps, hot)
+    sketch = docs.sparkSession.sparkContext.broadcast(sketch_of(counts, bits))
+    first = cut(prefixes_of(reps, hot, sketch), "prefixes")
+    sketch.destroy()
     shared = cut(first.groupBy("token").count().filter("count > 1").select("token"), "shared")
     posts = cut(first.join(sized(shared), "token").select("token", "key", "n", "pos", "share"), "posts")
     heads = cut(posts.groupBy("key").agg(F.collect_list("token").alias("head")), "heads")
@@ -239,7 +293,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     same = ["n", "h1", "h2"]
     classes = meta.filter("n > 0").groupBy(*same).agg(F.min("key").alias("rep"))
     classes = cut(classes, "classes")
-    roots = linked(rows.select("key", "text"), classes.select(F.col("rep").alias("key")))
+    roots = linked(rows.select("key", "text"), classes.select(F.col("rep").alias("key"), "n"))
     classes = cut(classes.join(roots, F.col("rep") == F.col("node"), "left").select(
         *same, "rep", F.coalesce("root", "rep").alias("root")), "rooted")
     named = meta.join(classes, same, "left").select(

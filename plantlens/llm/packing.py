@@ -31,6 +31,10 @@ def size_classes(capacity: int) -> np.ndarray:
     return np.array(sizes)
 
 
+def memo_name(path: str) -> str:
+    return f"words {path}"
+
+
 class WordEncoder:
     """Ids of texts, from ids of their words.
 
@@ -52,7 +56,7 @@ class WordEncoder:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.last = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)  # ids that end a word
         self.last[[i for token, i in vocabulary.items() if token.endswith(self.SUFFIX)]] = True
-        self.memo = worker_memo(f"words {path}")  # of words, and of the parts that others consist of
+        self.memo = worker_memo(memo_name(path))  # of words, and of the parts that others consist of
 
     def _each(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -142,7 +146,7 @@ def encoded(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> D
                 pieces.append([{"start": at, "length": min(capacity, n - at), "crc": zlib.crc32(ids[4 * at : 4 * (at + capacity)])} for at in range(0, n, capacity)])
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(total, pa.int64()), pa.array(pieces, kind)], names=["key", "doc_tokens", "pieces"])
 
-    return docs.select("key", "text").mapInArrow(lean(run), "key long, doc_tokens long, pieces array<struct<start: long, length: long, crc: long>>")
+    return docs.select("key", "text").mapInArrow(lean(run, memo_name(tokenizer_path)), "key long, doc_tokens long, pieces array<struct<start: long, length: long, crc: long>>")
 
 
 def best_pattern(sizes: np.ndarray, values: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:

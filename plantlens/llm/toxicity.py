@@ -330,7 +330,7 @@ def scored(docs: DataFrame, model: Model | None) -> DataFrame:
                 names=["doc_id", "held_out", "score", "predicted"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(crc_of("doc_id") % 5 == 0, F.lit(False)).alias("held_out"), "text")
-    return rows.mapInArrow(lean(run), "doc_id long, held_out boolean, score double, predicted int")
+    return rows.mapInArrow(lean(run, "toxicity"), "doc_id long, held_out boolean, score double, predicted int")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -148,3 +148,29 @@ def test_top_k_of_empty_other_and_repeated_vectors(spark):
         best = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in ints if i != q and len(w) == len(v))[:20]
         want += [(q, n, i, -s) for n, (s, i) in enumerate(best, 1)]
     assert out == sorted(want)
+
+
+def test_jaccard_blocks_hold_rare_shingles(spark, monkeypatch):
+    """Documents that share common shingles without linking do not meet: pairs grow with the links."""
+    line = ["c%d" % i for i in range(12)]
+    rows = [(i, " ".join([f"u{i}x{k}" for k in range(30)] + line)) for i in range(10)]  # each shares 8 of 38 shingles
+    rows += [(100 + i, rows[i][1].replace(f"u{i}x0 ", f"v{i} ")) for i in range(3)]
+    sizes, plain = {}, jaccard.cut
+
+    def counted(df, name):
+        out = plain(df, name)
+        sizes.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "cut", counted)
+    out = jaccard.near_duplicates(frame(spark, rows)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == brute.jaccard(rows)
+    assert sizes["pairs"] == [3]
+
+
+def test_jaccard_order_loses_no_link(spark, rows, monkeypatch):
+    """Full buckets, in which no shingle is told from another."""
+    monkeypatch.setattr(jaccard, "FULL", 2)
+    monkeypatch.setattr(jaccard, "HOT_DOCS", 3)
+    out = jaccard.near_duplicates(frame(spark, rows)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == brute.jaccard(rows)

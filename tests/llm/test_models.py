@@ -281,3 +281,14 @@ def test_pipeline_keeps_shared_and_null_ids(spark):
 def test_queries_run(spark, name):
     out = queries.QUERIES[name](spark, SMALL)
     assert out.count() > 0 and len(set(out.columns)) == len(out.columns)
+
+
+def test_workers_forget_memos_of_other_operators():
+    """What packing has kept of words goes when the worker takes up a task of another operator."""
+    from plantlens.llm.common import lean, worker_memo
+
+    worker_memo("words a")[b"w"] = b"ids"
+    assert list(lean(lambda batches: batches, "words a")([1])) == [1]
+    assert worker_memo("words a") == {b"w": b"ids"}
+    assert list(lean(lambda batches: batches)([1])) == [1]
+    assert worker_memo("words a") == {}
