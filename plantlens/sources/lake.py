@@ -134,12 +134,12 @@ def load_lake_inverters(
 
 def preferred_files(files: list[str]) -> list[str]:
     """Corrected files, and plain files no corrected file stands in for."""
-    corrected = [f for f in files if f.endswith("_corrected.csv")]
+    corrected = [f for f in files if f.removesuffix(".gz").endswith("_corrected.csv")]
     names = [f.rsplit("/", 1)[-1] for f in corrected]
     plain = [
         f for f in files
         if "corrected" not in f.rsplit("/", 1)[-1]
-        and not any(f.rsplit("/", 1)[-1].removesuffix(".csv") in n for n in names)
+        and not any(f.rsplit("/", 1)[-1].removesuffix(".gz").removesuffix(".csv") in n for n in names)
     ]
     return sorted(corrected) + sorted(plain)
 
@@ -185,6 +185,6 @@ def convert_csv_lake(spark: SparkSession, files: list[str], dest: str) -> DataFr
             "measured_on", F.col("metric_id").cast("int"), "value",
             F.year("measured_on").alias("year"),
         )
-        .write.mode("overwrite").partitionBy("year").parquet(dest)
+        .write.mode("overwrite").partitionBy("year").parquet(dest, compression="zstd")
     )
     return manifest

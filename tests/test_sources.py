@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plantlens.functions.timeparts import localized
+from plantlens.plans import views
 from plantlens.sites import channel_map, read_sites, site_dim, CONFIG
 from plantlens.sources import datums, headers, lake, tables, weather, widecsv
 from helpers import interval, site
@@ -231,3 +232,34 @@ def test_headers_that_lack_or_repeat_a_column(spark, tmp_path):
     both = widecsv.PlantFiles("s", widecsv.StreamSpec([str(tmp_path)], "x"), widecsv.StreamSpec([a], "X#2"))
     row = widecsv.load_plant(spark, both, sites).first()
     assert (row["ac_power_kw"], row["poa_wm2"], row["temp_c"]) == (1.0, 2.0, None)
+
+
+def test_headers_of_many_small_files_take_few_tasks(spark, tmp_path, monkeypatch):
+    """Small files share tasks; first lines are those of the reader that opens a file a task."""
+    for k in range(20):
+        end = "\r\n" if k % 2 else "\n"
+        (tmp_path / f"f{k:02d}.csv").write_bytes(f"measured_on,{'a' if k % 3 else 'b'}{end}1,2{end}".encode())
+    (tmp_path / "f20.csv").write_bytes(b"")
+    (tmp_path / "f21.csv").write_bytes(b"measured_on,only")
+    paths = headers.files_of(spark, str(tmp_path))
+    sc = spark.sparkContext
+    sc.setJobGroup("headers", "headers")
+    found = headers.header_groups(spark, paths)
+    jobs = [sc.statusTracker().getJobInfo(j) for j in sc.statusTracker().getJobIdsForGroup("headers")]
+    assert 0 < sum(sc.statusTracker().getStageInfo(s).numTasks for j in jobs for s in j.stageIds) < 20
+    assert {h: len(p) for h, p in found.items()} == {
+        ("measured_on", "a"): 13, ("measured_on", "b"): 7, ("measured_on", "only"): 1}
+    monkeypatch.setattr(headers, "LARGE_FILE", 0)
+    assert headers.header_groups(spark, paths) == found
+
+
+def test_channel_files_are_one_a_plant_and_year_and_packed(spark, tmp_path):
+    lines = [(k, 20 * (k % 3), k % 7 + 1, datetime(1994 + k % 4, 1 + k % 12, 5), 10.0 + k, 0.01 * (k % 9)) for k in range(200)]
+    spark.createDataFrame(lines, "l_orderkey long, l_suppkey long, l_linenumber long, l_shipdate timestamp, l_quantity double, "
+                          "l_discount double").write.parquet(str(tmp_path / "lineitem.parquet"))
+    files = views.land_channel_csvs(spark, str(tmp_path), str(tmp_path / "wide"))
+    kinds = {f.rsplit("/part-", 1)[0] for f in files}
+    assert len(files) == len(kinds) == 12 and all(f.endswith(".csv.gz") for f in files)
+    lake.convert_csv_lake(spark, files, str(tmp_path / "lake"))
+    assert spark.read.parquet(str(tmp_path / "lake")).where("metric_id = 1").count() == views.plant_interval(
+        spark, str(tmp_path)).where("ac_power_kw is not null").count()
